@@ -7,8 +7,10 @@ from importlib import import_module
 # Query name and the module that holds ``query`` and perhaps ``ORACLE_SQL``.
 MODULES = {
     "op1_line_dedup": "line_dedup",
+    "op2_secret_scan": "secret_scan",
     "op8_quality_rules": "quality",
     "op9_exact_dedup": "exact_dedup",
+    "op10_license_scan": "licenses",
 }
 
 

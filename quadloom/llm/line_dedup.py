@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, lines_of, prefixed, read, strip, text_of
+from .common import ascii_lower, cut, lines_of, prefixed, read, strip, text_of
 
 SALTS = 64
 
@@ -37,17 +37,18 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     """
     line = _rows(docs, id_col, text_col).select("doc_id", "text_h", F.posexplode(lines_of(F.col("text"))).alias("pos", "line"))
     line = line.select("doc_id", "text_h", "pos", ascii_lower(strip(F.col("line"))).alias("key")).where(F.length("key") >= min_chars)
-    hashed = line.select(
+    # The hashes of all lines, a few dozen bytes each, are made once for the sort's sample, the sort and the join.
+    hashed = cut(line.select(
         "doc_id", "text_h", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
         F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
-    )
+    ), "lines")
     # Ranges of (key, salt): a key with a third of all lines spreads over SALTS ranges.
     ranged = hashed.repartitionByRange("h1", "h2", "salt")
     stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "text_h", "pos")
     first = ranged.select("*", ((F.row_number().over(stream) == 1) | ~F.lag("doc_id").over(stream).eqNullSafe(F.col("doc_id"))).alias("opens"))
     part = first.groupBy("h1", "h2", "salt").agg(F.sum(F.col("opens").cast("long")).alias("n"), F.min(F.struct("doc_id", "text_h", "pos")).alias("first"))
     common = part.groupBy("h1", "h2").agg(F.sum("n").alias("n"), F.min("first").alias("first")).where(F.col("n") >= min_docs)
-    hit = hashed.join(common, ["h1", "h2"])
+    hit = hashed.join(cut(common, "common"), ["h1", "h2"])
     if keep_first:
         hit = hit.where(~F.struct("doc_id", "text_h", "pos").eqNullSafe(F.col("first")))
     hit = hit.select("doc_id", "text_h", "pos").repartition("doc_id", "text_h")
