@@ -8,6 +8,8 @@ from importlib import import_module
 MODULES = {
     "op1_line_dedup": "line_dedup",
     "op2_secret_scan": "secret_scan",
+    "op3_best_fit_packing": "packing",
+    "op4_source_mixing": "mixing",
     "op8_quality_rules": "quality",
     "op9_exact_dedup": "exact_dedup",
     "op10_license_scan": "licenses",

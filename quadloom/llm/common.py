@@ -86,7 +86,7 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quadloom/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.parquet(path)
     _TABLES.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
