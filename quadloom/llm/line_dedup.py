@@ -16,7 +16,7 @@ ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, cut, lines_of, prefixed, read, strip, text_of
@@ -24,8 +24,8 @@ from .common import ascii_lower, cut, lines_of, prefixed, read, strip, text_of
 SALTS = 64
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col))
+def _rows(docs: DataFrame, id_col: str, text_col: str, **more: Column) -> DataFrame:
+    rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col), **more)
     return rows.withColumn("text_h", F.xxhash64("text"))
 
 
@@ -56,23 +56,24 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     return word.groupBy("doc_id", "text_h").agg(F.array_sort(F.collect_list(F.struct("word", F.bitwise_not("drop").alias("bits")))).alias("keep"))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_lines, n_dropped, kept`` (the kept lines joined by ``\\n``), a row per input row."""
-    rows = _rows(docs, id_col, text_col)
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Column | None = None) -> DataFrame:
+    """``doc_id, n_lines, n_dropped, kept`` (the kept lines joined by ``\\n``) and, if given, ``carry``; a row per input row."""
+    more = {"carry": carry} if carry is not None else {}
+    rows = _rows(docs, id_col, text_col, **more)
     b = bitmaps.select(F.col("doc_id").alias("b_id"), F.col("text_h").alias("b_h"), "keep")
     rows = rows.join(b, F.col("doc_id").eqNullSafe(F.col("b_id")) & (F.col("text_h") == F.col("b_h")), "left")
-    rows = rows.select("doc_id", "text", "keep", lines_of(F.col("text")).alias("lines"))
+    rows = rows.select("doc_id", "text", *more, "keep", lines_of(F.col("text")).alias("lines"))
     # The sparse words as a dense array, so that a line finds its bit at once.
     dense = F.expr(
         "transform(array(map_from_entries(keep)), m -> transform(sequence(0, element_at(keep, -1).word), w -> coalesce(try_element_at(m, w), -1L)))[0]"
     )
-    rows = rows.select("doc_id", "text", "lines", F.when(F.col("keep").isNotNull(), dense).alias("bits"))
+    rows = rows.select("doc_id", "text", *more, "lines", F.when(F.col("keep").isNotNull(), dense).alias("bits"))
     kept = F.expr("filter(lines, (x, i) -> i div 64 >= size(bits) OR (shiftright(bits[cast(i div 64 as int)], cast(i % 64 as int)) & 1L) = 1L)")
-    rows = rows.select("doc_id", "text", "lines", F.when(F.col("bits").isNotNull(), kept).alias("kept_lines"))
+    rows = rows.select("doc_id", "text", *more, "lines", F.when(F.col("bits").isNotNull(), kept).alias("kept_lines"))
     n = F.size("lines").cast("long")
     return rows.select(
         "doc_id", n.alias("n_lines"), F.when(F.col("kept_lines").isNull(), F.lit(0)).otherwise(n - F.size("kept_lines")).cast("long").alias("n_dropped"),
-        F.when(F.col("kept_lines").isNull(), F.col("text")).otherwise(F.array_join("kept_lines", "\n")).alias("kept"),
+        F.when(F.col("kept_lines").isNull(), F.col("text")).otherwise(F.array_join("kept_lines", "\n")).alias("kept"), *more,
     )
 
 
@@ -80,6 +81,14 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fir
     return apply_bitmaps(docs, keep_bitmaps(docs, min_docs, min_chars, keep_first, id_col, text_col), id_col, text_col)
 
 
+def replace_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` with the kept lines as their text; other columns as they were."""
+    others = [c for c in docs.columns if c != text_col]
+    whole = F.struct(*[F.col(f"`{c}`") for c in others])
+    out = apply_bitmaps(docs, keep_bitmaps(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col, whole)
+    return out.select(*[F.col("kept" if c == text_col else f"carry.`{c}`").alias(c) for c in docs.columns])
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(read(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 

@@ -109,7 +109,9 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     spark = docs.sparkSession
     extra = {"carry": carry} if carry is not None else {}
     rows = prefixed(docs, doc_id=F.col(id_col), source=F.col(source_col).cast("string"), size=count_words(text_of(text_col)), **extra)
-    rows = cut(rows.withColumn("key", source_key(F.col("source"))), "sizes")
+    rows = rows.withColumn("key", source_key(F.col("source")))
+    if carry is None:  # what is carried along may be long: then sizes are counted twice instead
+        rows = cut(rows, "sizes")
     hist = cut(rows.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
     totals = hist.groupBy("key", "source").agg(F.sum(F.col("n") * F.col("size")).alias("size"), F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("n")).collect()  # a row per source
     have, many, name = {r["key"]: r["size"] for r in totals}, {r["key"]: r["n"] or 0 for r in totals}, {r["source"]: r["key"] for r in totals}
