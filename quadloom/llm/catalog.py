@@ -10,6 +10,7 @@ MODULES = {
     "op2_secret_scan": "secret_scan",
     "op3_best_fit_packing": "packing",
     "op4_source_mixing": "mixing",
+    "op5_hmm_lm": "hmm_lm",
     "op6_simhash_near_dedup": "simhash",
     "op8_quality_rules": "quality",
     "op9_exact_dedup": "exact_dedup",
