@@ -12,6 +12,7 @@ MODULES = {
     "op4_source_mixing": "mixing",
     "op5_hmm_lm": "hmm_lm",
     "op6_simhash_near_dedup": "simhash",
+    "op7_substring_dedup": "phrases",
     "op8_quality_rules": "quality",
     "op9_exact_dedup": "exact_dedup",
     "op10_license_scan": "licenses",

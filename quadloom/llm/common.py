@@ -88,6 +88,8 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/quadloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _TABLES.append(path)
+    # What the write shuffled is not needed again; Spark deletes shuffle files only after a collection.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
