@@ -17,6 +17,9 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import sys
+import types
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -31,14 +34,17 @@ from .common import cut, prefixed, read, text_of
 LENGTH, END, SHARD = 2048, 0, 4096
 CACHED_WORDS = 250_000
 SEPARATOR = "<|endoftext|>"
+MARKS = ".,;:!?"
 
 
 class WordCoder:
     """Ids of texts as little-endian 32-bit bytes; words are cached.
 
-    The tokenizer drops white space and never joins words across it, so a text
-    is the concatenation of its words. New words of a batch are encoded in one
-    call, kept apart by a special token.
+    The tokenizer drops white space and case and never joins words across
+    white space, so a text is the concatenation of its words, and a letter
+    followed by one mark is the concatenation of both. Words of letters alone
+    are encoded many to a call and told apart by the ids that end a word; what
+    remains is kept apart by a special token.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
@@ -47,22 +53,63 @@ class WordCoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.cached, self.words = cached, {}
         self.mark = self.tokenizer.token_to_id(SEPARATOR)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.marks = {m: self._one(m) for m in MARKS}
+
+    def _one(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _joined(self, words: list[str], glue: str, size: int) -> np.ndarray:
+        texts = [glue.join(words[i : i + size]) for i in range(0, len(words), size)]
+        return np.concatenate([np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    @staticmethod
+    def shared(path: str) -> WordCoder:
+        """The one of this process: a worker's later tasks find the words of its earlier ones."""
+        kept = sys.modules.setdefault("_quadloom_coders", types.ModuleType("_quadloom_coders")).__dict__
+        if path not in kept:
+            kept[path] = WordCoder(path)
+        return kept[path]
 
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
-        out: dict[bytes, bytes] = {}
-        plain = [w for w in words if b"<|" not in w]
-        for i in range(0, len(plain), 4096):
-            part = plain[i : i + 4096]
-            ids = np.array(self.tokenizer.encode(SEPARATOR.join(w.decode("utf-8", "replace") for w in part), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            edges = [0, *(cuts + 1).tolist(), len(ids) + 1]
-            raw = ids.tobytes()
-            for k, w in enumerate(part):
-                out[w] = raw[4 * edges[k] : 4 * (edges[k + 1] - 1)]
-        for w in words:
-            if b"<|" in w:
-                out[w] = np.array(self.tokenizer.encode(w.decode("utf-8", "replace"), add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return out
+        whole = b"\n".join(words).lower().decode("utf-8", "replace")
+        texts = whole.split("\n")
+        # Letters stay letters under the tokenizer's NFC and lower case, unless the text is not in NFC or holds a dotted capital I.
+        safe = whole.isascii() or (unicodedata.is_normalized("NFC", whole) and "\u0130" not in whole)
+        marks, letters, others = self.marks, {}, {}
+        bare, mark = [], []
+        for t in texts:
+            m = ""
+            if not t.isalpha():
+                if t[-1] in marks and t[-2:-1].isalpha():
+                    t, m = t[:-1], t[-1]
+                if not t.isalpha():
+                    others[t] = b""
+                    bare.append(t)
+                    mark.append(m)
+                    continue
+            (letters if safe else others)[t] = b""
+            bare.append(t)
+            mark.append(m)
+        if letters:
+            names = list(letters)
+            ids = self._joined(names, " ", 64)
+            edges = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
+            if len(edges) == len(names) + 1:
+                raw = ids.tobytes()
+                letters = {n: raw[4 * a : 4 * b] for n, a, b in zip(names, edges, edges[1:])}
+            else:  # a word did not end as expected: none is taken from this call
+                letters, others = {}, others | letters
+        apart = [n for n in others if "<|" not in n]
+        for i in range(0, len(apart), 64):
+            ids = self._joined(apart[i : i + 64], SEPARATOR, 64)
+            edges = [-1, *np.flatnonzero(ids == self.mark).tolist(), len(ids)]
+            others.update((n, ids[a + 1 : b].tobytes()) for n, a, b in zip(apart[i : i + 64], edges, edges[1:]))
+        others.update((n, self._one(n)) for n in others if "<|" in n)
+        known = letters | others
+        return {w: known[t] + marks[m] if m else known[t] for w, t, m in zip(words, bare, mark)}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         known = self.words
@@ -84,7 +131,7 @@ def _piece_rows(path: str, length: int, end: int):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        coder, tail, width = WordCoder(path), int(end).to_bytes(4, "little"), 4 * length
+        coder, tail, width = WordCoder.shared(path), int(end).to_bytes(4, "little"), 4 * length
         for batch in batches:
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             row, piece, start, size, crc = [], [], [], [], []
