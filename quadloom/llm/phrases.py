@@ -45,42 +45,39 @@ CACHED = 300_000
 NULL_ID = -(1 << 63)
 
 
-class Words:
-    """64-bit numbers of words, cached."""
+class Words(dict):
+    """64-bit hashes of words, as bytes; those of the first ``CACHED`` words are kept."""
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
+    def __missing__(self, word: bytes) -> bytes:
         import xxhash
 
-        known = self.known
-        if len(known) > CACHED:
-            known.clear()
-        try:
-            return np.array([known[w] for w in words], dtype="<u8")
-        except KeyError:
-            for w in words:
-                if w not in known:
-                    known[w] = xxhash.xxh64_intdigest(w)
-            return np.array([known[w] for w in words], dtype="<u8")
+        digest = xxhash.xxh64_digest(word)
+        if len(self) < CACHED:
+            self[word] = digest
+        return digest
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join([self[w] for w in words]), dtype="<u8")
 
 
-def minimizers(a: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
-    """Per window of words, the place and the value of its smallest gram hash (the first of equals)."""
+def minimizers(a: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
+    """Per window of words its smallest gram hash; the minimum over a span is one over two overlapping spans of a power of two."""
     n = len(a) - gram + 1
     g = np.zeros(n, dtype="<u8")
     for j in range(gram):
         g = (g ^ a[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
         g ^= g >> np.uint64(32)
-    span = window - gram + 1
-    best, place = g[: n - span + 1].copy(), np.arange(n - span + 1)
-    for j in range(1, span):
-        other = g[j : j + len(best)]
-        less = other < best
-        best[less] = other[less]
-        place[less] = np.flatnonzero(less) + j
-    return place, best.view("<i8")
+    span, width = window - gram + 1, 1
+    while 2 * width <= span:
+        g = np.minimum(g[:-width], g[width:])
+        width *= 2
+    rest = span - width
+    return (np.minimum(g[: len(g) - rest], g[rest:]) if rest else g).view("<i8")
+
+
+def runs(value: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin, and the end."""
+    return np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1], [True]]))
 
 
 def _list_rows(window: int, gram: int):
@@ -96,7 +93,8 @@ def _list_rows(window: int, gram: int):
                 sha.append(hashlib.sha256(joined).hexdigest())
                 s1.append(int.from_bytes(seq[:8], "little", signed=True))
                 s2.append(int.from_bytes(seq[8:], "little", signed=True))
-                found.append(np.unique(minimizers(words_of.numbers(words), window, gram)[1]) if len(words) >= window else np.zeros(0, "<i8"))
+                mins = minimizers(words_of.numbers(words), window, gram) if len(words) >= window else np.zeros(0, "<i8")
+                found.append(np.unique(mins[runs(mins)[:-1]]))
             ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
             mins = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found) if found else np.zeros(0, "<i8")))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(sha, pa.string()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), mins], names=["doc_id", "key_id", "text_h", "n_words", "sha", "seq1", "seq2", "mins"])
@@ -115,23 +113,22 @@ def _stretch_rows(window: int, gram: int):
                 words = text.split()
                 if len(words) < window:
                     continue
-                place, value = minimizers(words_of.numbers(words), window, gram)
+                value = minimizers(words_of.numbers(words), window, gram)
                 order = np.argsort(mins := np.array(mins, dtype="<i8"))
                 mins, salts = mins[order], np.array(salts)[order]
-                at = np.minimum(np.searchsorted(mins, value), len(mins) - 1)
-                hit = mins[at] == value
-                # Runs of windows that share the place of their minimizer.
-                edge = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1], [True]]))
-                for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
-                    if hit[a]:
-                        k = int(salts[at[a]])
-                        out["h"].append(int(value[a]))
-                        out["salts"].append(k)
-                        out["salt"].append(text_h % k)
-                        out["key_id"].append(key)
-                        out["text_h"].append(text_h)
-                        out["pos"].append(a)
-                        out["words"].append(b" ".join(words[a : b - 1 + window]))
+                # Runs of windows with one minimizer: a repeated word is one stretch, not one a window.
+                edge = runs(value)
+                at = np.minimum(np.searchsorted(mins, value[edge[:-1]]), len(mins) - 1)
+                for i in np.flatnonzero(mins[at] == value[edge[:-1]]).tolist():
+                    a, b = int(edge[i]), int(edge[i + 1])
+                    k = int(salts[at[i]])
+                    out["h"].append(int(value[a]))
+                    out["salts"].append(k)
+                    out["salt"].append(text_h % k)
+                    out["key_id"].append(key)
+                    out["text_h"].append(text_h)
+                    out["pos"].append(a)
+                    out["words"].append(b" ".join(words[a : b - 1 + window]))
             types = {"h": pa.int64(), "salts": pa.int32(), "salt": pa.int32(), "key_id": pa.int64(), "text_h": pa.int64(), "pos": pa.int32(), "words": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in types.items()], names=list(types))
 
