@@ -77,6 +77,8 @@ def minimizers(a: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndar
 
 def runs(value: np.ndarray) -> np.ndarray:
     """Where runs of equal values begin, and the end."""
+    if not len(value):
+        return np.zeros(1, dtype="int64")
     return np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1], [True]]))
 
 
