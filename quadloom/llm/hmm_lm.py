@@ -80,6 +80,23 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(_count_rows, "h long, suffix int, c long").groupBy("h", "suffix").agg(F.sum("c").alias("c"))
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """All words above the least count that leaves at most ``most`` of them.
+
+    Counts fall into 64 steps a doubling, so the threshold comes from a few
+    thousand sums and no task hands over more than its share.
+    """
+    step = F.floor(F.log2("c") * 64).cast("int")
+    sizes = {r["step"]: r["n"] for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, total = max(sizes, default=0) + 1, 0
+    for s in sorted(sizes, reverse=True):
+        total += sizes[s]
+        if total > most:
+            break
+        least = s
+    return counts.where(step >= least)
+
+
 class Lexicon:
     """What a task needs to read texts: head counts and the words with classes of their own."""
 
@@ -291,7 +308,7 @@ def hmm_scores(docs: DataFrame, held_out=None, states: int = STATES, steps: int
     counts = cut(word_counts(rows.where(~F.col("held_out"))), "counts")
     ends = rows.where(~F.col("held_out")).count()
     by_suffix = counts.groupBy("suffix").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # SUFFIXES rows
-    head = counts.orderBy(F.desc("c"), "h").limit(HEAD).toPandas()  # HEAD rows, whatever the input
+    head = most_frequent(counts, HEAD).toPandas()  # HEAD rows at most, whatever the input
     lex = Lexicon(head["h"].to_numpy(dtype="int64"), head["c"].to_numpy(dtype="int64"), ends)
     n_total = sum(r["n"] for r in by_suffix) + ends
     v_total = sum(r["v"] for r in by_suffix) + (ends > 0)
