@@ -54,10 +54,12 @@ def repeat_words(words: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    n = F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+"))
+    n = count_words(line)
+    # Most lines hold no such mark; only the others are counted.
+    marks = lambda p: F.when(F.rlike(line, F.lit(p)), F.regexp_count(line, F.lit(p))).otherwise(0)
     return (
-        (F.regexp_count(line, F.lit(PUNCT_RUN)) * 100 > n * PUNCT_SHARE)
-        | ((n <= SHORT_WORDS) & (F.regexp_count(line, F.lit(NAV_MARK)) >= NAV_MARKS))
+        (marks(PUNCT_RUN) * 100 > n * PUNCT_SHARE)
+        | ((n <= SHORT_WORDS) & (marks(NAV_MARK) >= NAV_MARKS))
         | ((n <= SHORT_WORDS) & F.rlike(line, F.lit(BOILERPLATE)))
     )
 
@@ -67,8 +69,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
     rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col))
     rows = rows.select("doc_id", "text", words_of(F.col("text")).alias("words"), F.filter(lines_of(F.col("text")), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))).alias("lines"))
     rows = rows.select(
-        "doc_id", "text", F.size("words").cast("long").alias("n_words"), (F.length("text") - F.regexp_count("text", F.lit(SPACE_CLASS))).cast("long").alias("word_chars"),
-        F.regexp_count("text", F.lit(SYMBOLS)).cast("long").alias("n_symbols"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
+        "doc_id", "text", F.size("words").cast("long").alias("n_words"), F.length(F.regexp_replace("text", SPACE_CLASS + "+", "")).cast("long").alias("word_chars"),
+        (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         let(F.col("words"), repeat_words).alias("n_repeat_words"), F.filter("lines", line_fails).alias("failed"),
     )
     lost = F.aggregate("failed", F.lit(0).cast("long"), lambda a, x: a + count_words(x))
