@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPACE = " \t\n\x0b\x0c\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
-WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -46,7 +45,7 @@ def words_of(c: Column) -> Column:
 
 
 def count_words(c: Column) -> Column:
-    return F.regexp_count(c, F.lit(WORD_PATTERN)).cast("long")
+    return F.size(words_of(c)).cast("long")
 
 
 def let(value: Column, body) -> Column:

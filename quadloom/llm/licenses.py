@@ -41,7 +41,6 @@ TEMPLATES = [
 ]
 THRESHOLD = 0.8
 SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]"
 
 
 def words(c: Column) -> Column:
@@ -100,7 +99,7 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD, templates=None,
     rare = _literal(sorted({x[0] for x in index}))
     blocks = F.filter(F.transform(lines_of(F.col("low")), lambda x: let(words(x), lambda w: F.when(F.arrays_overlap(w, rare), F.array_intersect(_literal(order), w)))), lambda b: F.size(F.coalesce(b, F.array().cast("array<string>"))) >= least)
     none = F.array().cast("array<struct<word:bigint,label:string>>")
-    rows = cut(rows.select("doc_id", "text_h", F.regexp_count("low", F.lit(WORD + "+")).cast("long").alias("n_words"), F.when(_may_hold(F.col("low")), let(words(F.col("low")), places)).otherwise(none).alias("base"), blocks.alias("blocks")), "blocks")
+    rows = cut(rows.select("doc_id", "text_h", F.size(words(F.col("low"))).cast("long").alias("n_words"), F.when(_may_hold(F.col("low")), let(words(F.col("low")), places)).otherwise(none).alias("base"), blocks.alias("blocks")), "blocks")
 
     table = spark.createDataFrame(index, "w string, t int, label string, tokens array<string>, need int, at int")
     block = rows.select("doc_id", "text_h", F.explode(F.array_distinct("blocks")).alias("block"))
