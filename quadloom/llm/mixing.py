@@ -32,7 +32,7 @@ from .common import count_words, cut, prefixed, read, text_of
 
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 UNIT = 1 << 20  # rates are counted in these parts
-BINS = 2048
+BINS = 256
 
 
 def source_key(c: Column) -> Column:
