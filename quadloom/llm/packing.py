@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import cut, prefixed, read, text_of
 
 LENGTH, END, SHARD = 2048, 0, 4096
-CACHED_WORDS = 250_000
+CACHED_WORDS, PART_BYTES = 300_000, 4_000_000
 SEPARATOR = "<|endoftext|>"
 MARKS = ".,;:!?"
 
@@ -74,6 +74,8 @@ class WordCoder:
         return kept[path]
 
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        if not words:
+            return {}
         whole = b"\n".join(words).lower().decode("utf-8", "replace")
         texts = whole.split("\n")
         # Letters stay letters under the tokenizer's NFC and lower case, unless the text is not in NFC or holds a dotted capital I.
@@ -112,18 +114,24 @@ class WordCoder:
         return {w: known[t] + marks[m] if m else known[t] for w, t, m in zip(words, bare, mark)}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """Ids of each text; a few megabytes of text are split into words at a time."""
         known = self.words
-        split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(known)) if split else []
-        fresh = self._encode(new)
-        if len(known) < self.cached:
-            known.update(fresh)
-            fresh = {}
-        for words in split:
-            if fresh:
-                yield b"".join([known[w] if w in known else fresh[w] for w in words])
-            else:
-                yield b"".join([known[w] for w in words])
+        first, size = 0, 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size < PART_BYTES and i + 1 < len(texts):
+                continue
+            split = [t.split() for t in texts[first : i + 1]]
+            first, size = i + 1, 0
+            fresh = self._encode(list(set().union(*split).difference(known)))
+            if len(known) < self.cached:
+                known.update(fresh)
+                fresh = {}
+            for words in split:
+                if fresh:
+                    yield b"".join([known[w] if w in known else fresh[w] for w in words])
+                else:
+                    yield b"".join([known[w] for w in words])
 
 
 def _piece_rows(path: str, length: int, end: int):
