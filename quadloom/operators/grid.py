@@ -121,8 +121,8 @@ def open_labels(walls: np.ndarray) -> np.ndarray:
 
 
 def _block_walls(rows: pd.DataFrame, side: int) -> tuple[np.ndarray, int, int]:
-    r = rows.iloc[0]
-    x0, y0 = int(r["bx"]) * side, int(r["by"]) * side
+    r = rows.iloc[0][["bx", "by", "x0", "x1", "y0", "y1"]].astype(int)  # floats where a block has no walls
+    x0, y0 = r["bx"] * side, r["by"] * side
     walls = np.ones((side, side), dtype=bool)
     walls[max(r["y0"] - y0, 0) : max(r["y1"] - y0 + 1, 0), max(r["x0"] - x0, 0) : max(r["x1"] - x0 + 1, 0)] = False
     at = rows[rows["x"].notna()]
@@ -134,12 +134,12 @@ def _ring(label: np.ndarray, x0: int, y0: int, r: pd.Series) -> set[int]:
     """Regions that hold a cell of the rectangle's border."""
     out: set[int] = set()
     h, w = label.shape
-    for x in (r["x0"] - x0, r["x1"] - x0):
+    for x in (int(r["x0"]) - x0, int(r["x1"]) - x0):
         if 0 <= x < w:
-            out |= set(label[:, int(x)].tolist())
-    for y in (r["y0"] - y0, r["y1"] - y0):
+            out |= set(label[:, x].tolist())
+    for y in (int(r["y0"]) - y0, int(r["y1"]) - y0):
         if 0 <= y < h:
-            out |= set(label[int(y)].tolist())
+            out |= set(label[y].tolist())
     return out - {-1}
 
 

@@ -21,10 +21,10 @@ SURVEY = "fill long, other long, opaque long"
 
 
 def _batched(function: Callable, kind: str) -> Callable[..., Column]:
-    """A pandas UDF of a kernel that takes and gives single values."""
+    """A pandas UDF of a kernel that takes and gives single values; null in, null out."""
 
     def apply(*columns: pd.Series) -> pd.Series:
-        return pd.Series([function(*row) for row in zip(*columns)], dtype=object)
+        return pd.Series([None if any(v is None for v in row) else function(*row) for row in zip(*columns)], dtype=object)
 
     def first(a: pd.Series) -> pd.Series:
         return apply(a)
@@ -87,7 +87,7 @@ def quadrant_mask(mask: Column, qx: Column, qy: Column, side: Column) -> Column:
 
 def without_solid(blob: Column) -> Column:
     """Null for tiles that are fill and nothing else; otherwise the bytes as they came."""
-    return _batched(lambda b: None if b is None or raster.all_fill(png.decode(b)) else b, "binary")(blob)
+    return _batched(lambda b: None if raster.all_fill(png.decode(b)) else b, "binary")(blob)
 
 
 def strip_pixels(tiles: DataFrame, kind: str, radius: int, white: int = WHITE) -> DataFrame:

@@ -44,7 +44,7 @@ def candidates(frontier: DataFrame | None, limits: DataFrame, z: int, full_until
 
 def descent(seed: DataFrame, fetch: Fetch, low: int, high: int, done: DataFrame | None = None) -> DataFrame:
     """Content tiles: every zoom asks for the children of the last one's content; errors don't hold it up."""
-    found, frontier = None, seed
+    found, frontier = None, seed.select(*KEYS)
     for z in range(low, high + 1):
         ask = frontier if z == low else g.children(frontier).distinct()
         ask = ask if done is None else relations.todo(ask, done)

@@ -151,8 +151,7 @@ def publish(sources: list[str | Path], folder: str | Path, pipeline: str = "", k
 
 def sweep(folder: str | Path, pattern: str = "*.partial") -> list[str]:
     """Deletes what an interrupted run left behind."""
-    gone = []
-    for f in [*Path(folder).glob(pattern), *Path(folder).glob("." + pattern)]:
+    gone = sorted(Path(folder).glob(pattern))  # hidden files too
+    for f in gone:
         f.unlink()
-        gone.append(f.name)
-    return sorted(set(gone))
+    return [f.name for f in gone]
