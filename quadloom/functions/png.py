@@ -92,3 +92,37 @@ def decode(blob: bytes) -> np.ndarray:
     if colour == 2 and alpha:
         out[..., 3] = np.where((px == np.array(struct.unpack(">HHH", alpha))).all(axis=2), 0, 255)
     return out
+
+
+def palette(colours: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
+    """For each colour the number of its box after a median cut into at most ``most`` boxes."""
+    boxes = [np.arange(len(colours))]
+    while len(boxes) < most:
+        spans = [np.ptp(colours[b].astype(int), axis=0).max() if len(b) > 1 else -1 for b in boxes]
+        k = int(np.argmax(spans))
+        if spans[k] < 0:
+            break
+        b = boxes.pop(k)
+        axis = int(np.ptp(colours[b].astype(int), axis=0).argmax())
+        b = b[np.argsort(colours[b, axis], kind="stable")]
+        run = np.cumsum(counts[b])
+        cut = min(max(int(np.searchsorted(run, run[-1] / 2)) + 1, 1), len(b) - 1)
+        boxes += [b[:cut], b[cut:]]
+    out = np.zeros(len(colours), dtype=np.uint8)
+    for i, b in enumerate(boxes):
+        out[b] = i
+    return out
+
+
+def encode_palette(image: np.ndarray, most: int = 192) -> bytes:
+    """An indexed PNG of at most ``most`` colours (alpha kept per colour); for previews, not for tiles."""
+    h, w, _ = image.shape
+    colours, at, counts = np.unique(image.reshape(-1, 4), axis=0, return_inverse=True, return_counts=True)
+    box = palette(colours, counts, most)
+    n = int(box.max()) + 1
+    weight = np.bincount(box, counts, n)
+    table = np.stack([np.rint(np.bincount(box, colours[:, c] * counts, n) / weight) for c in range(4)], axis=1).astype(np.uint8)
+    lines = np.zeros((h, 1 + w), dtype=np.uint8)
+    lines[:, 1:] = box[at.ravel()].reshape(h, w)
+    head = struct.pack(">IIBBBBB", w, h, 8, 3, 0, 0, 0)
+    return SIGNATURE + _chunk(b"IHDR", head) + _chunk(b"PLTE", table[:, :3].tobytes()) + _chunk(b"tRNS", table[:, 3].tobytes()) + _chunk(b"IDAT", zlib.compress(lines.tobytes(), 9)) + _chunk(b"IEND", b"")

@@ -36,3 +36,35 @@ def mosaics(spots: DataFrame, tiles: DataFrame, width: int, height: int) -> Data
         return pd.DataFrame([(p["name"].iloc[0], png.encode(out), got, len(p))], columns=["name", "image", "got", "total"])
 
     return windows(spots, width, height).join(tiles.select("z", "x", "y", "tile_data"), ["z", "x", "y"], "left").groupBy("name").applyInPandas(paste, "name string, image binary, got long, total long")
+
+
+def compared(areas: DataFrame, sources: dict[str, DataFrame], z: int, gap: int = 4) -> DataFrame:
+    """Per area one image with a panel for each source, and how complete each panel is.
+
+    ``areas`` has ``name, west, south, east, north``; the panel of an area is all
+    its tiles at ``z``, absent ones left blank.
+    """
+    from functools import reduce
+
+    from ..functions.geometry import cells, rectangles
+
+    rects = rectangles(areas, z, z)
+    wanted = cells(rects, ["name", "z"]).join(rects.select("name", F.col("x0"), F.col("y0"), F.col("x1"), F.col("y1")), "name")
+    panels = [wanted.join(t.select("z", "x", "y", "tile_data"), ["z", "x", "y"], "left").withColumn("panel", F.lit(i)) for i, t in enumerate(sources.values())]
+    names = list(sources)
+
+    def draw(p: pd.DataFrame) -> pd.DataFrame:
+        r = p.iloc[0]
+        x0, y0 = int(r["x0"]), int(r["y0"])
+        w, h = (int(r["x1"]) - x0 + 1) * TILE, (int(r["y1"]) - y0 + 1) * TILE
+        out = np.full((h, len(names) * (w + gap) - gap, 4), 255, dtype=np.uint8)
+        got = [0] * len(names)
+        for t in p[p["tile_data"].notna()].itertuples(index=False):
+            x, y = t.panel * (w + gap) + (t.x - x0) * TILE, (t.y - y0) * TILE
+            out[y : y + TILE, x : x + TILE] = png.decode(t.tile_data)
+            got[t.panel] += 1
+        total = len(p) // len(names)
+        label = "; ".join(f"{n}: {g}/{total}" for n, g in zip(names, got))
+        return pd.DataFrame([(r["name"], png.encode(out), label)], columns=["name", "image", "label"])
+
+    return reduce(DataFrame.unionByName, panels).groupBy("name").applyInPandas(draw, "name string, image binary, label string")
