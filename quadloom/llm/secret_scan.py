@@ -9,7 +9,8 @@ p-values evenly, structured ones pile up near 0; so within each stratum of
 encoding and length the evenly spread part is estimated from the upper half,
 and the lowest threshold whose expected share of structured tokens stays within
 ``max_false`` decides. The strata make the control length-aware: short tokens,
-whose tests are weak, need a higher p-value than long ones.
+whose tests are weak, need a higher p-value than long ones. No token below
+``LEAST_P`` is called random whatever its stratum holds.
 
 Positions count code points. Only DataFrame functions are used; texts are read
 once and never shuffled, a digest of spans goes to the shared folder, and what
@@ -47,7 +48,7 @@ ENCODINGS = [
     ("base64url", "^[A-Za-z0-9_-]+=*$", _UPPER + _LOWER + _DIGITS + "-_"),
 ]
 BANDS = [24, 32, 48, 64, 128]
-BINS = 20
+BINS, LEAST_P = 20, 0.001
 _BLOCK = 256
 
 
@@ -97,7 +98,7 @@ def normal_tail(z: Column) -> Column:
 
 
 def _battery(bare: Column, alphabet: str) -> Column:
-    """p-value of "random over this alphabet": three tests, Bonferroni-combined."""
+    """p-value of "random over this alphabet": the least of three tests, spread evenly again for random tokens."""
     k, n = len(alphabet), F.length(bare).cast("double")
     counts = F.transform(F.array_distinct(F.split(bare, "")), lambda c: F.pow((F.length(bare) - F.length(F.replace(bare, c, F.lit("")))).cast("double"), F.lit(2)))
     chi = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) * k / n - n
@@ -117,7 +118,7 @@ def _battery(bare: Column, alphabet: str) -> Column:
         square = F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x)
         lagged = F.aggregate(F.transform(pairs, lambda x, i: x * F.get(v, i + 1)), F.lit(0.0), lambda a, x: a + x)
         p_serial = 2 * normal_tail(F.abs(lagged / square) * F.sqrt(n))
-        return F.least(F.lit(1.0), 3 * F.least(p_uniform, p_runs, p_serial))
+        return 1 - F.pow(1 - F.least(F.lit(1.0), p_uniform, p_runs, p_serial), F.lit(3))
 
     return let(place, ordered)
 
@@ -166,7 +167,7 @@ def secret_scan(docs: DataFrame, max_false: float = 0.05, id_col: str = "doc_id"
     scanned = cut(rows.select("doc_id", base_spans(F.col("text")).alias("base"), candidates(F.col("text")).alias("candidates")), "spans")
     limit = thresholds(scanned, max_false)
     table = F.create_map(*[x for s, t in limit.items() for x in (F.lit(s), F.lit(t))]) if limit else F.lit(None).cast("map<int,double>")
-    called = F.filter("candidates", lambda c: c["p"] >= F.coalesce(F.try_element_at(table, c["stratum"]), F.lit(2.0)))
+    called = F.filter("candidates", lambda c: c["p"] >= F.greatest(F.lit(LEAST_P), F.coalesce(F.try_element_at(table, c["stratum"]), F.lit(2.0))))
     added = F.transform(called, lambda c: F.struct(c["start"].alias("start"), F.lit(3).alias("kind"), c["end"].alias("end")))
     return scanned.select("doc_id", "base", F.array_sort(F.concat("base", added)).alias("spans"))
 
