@@ -201,8 +201,10 @@ def local_search(sizes: list[int], bins: list[list[int]], length: int, patience:
     tried, alive = 0, sum(map(bool, bins))
     order = sorted(range(len(bins)), key=lambda b: (fill[b], b))
     for giver in order:
-        if tried >= patience or alive <= bound or fill[giver] == length:
+        if tried >= patience or alive <= bound:
             break
+        if not bins[giver] or fill[giver] == length:
+            continue
         open_ = [b for b in range(len(bins)) if bins[b] and b != giver and fill[b] < length and fill[b] >= fill[giver]]
         saved = {giver: (list(bins[giver]), fill[giver])}
         stuck = False
