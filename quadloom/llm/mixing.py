@@ -127,7 +127,8 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP
     place = F.floor(F.lit(BINS) * (F.lit(UNIT) + draw - F.col("frac")) / F.lit(UNIT))
     rated = rated.withColumn("bin", F.when(F.col("frac") > 0, place).otherwise(2 * BINS).cast("int"))
     count = rated.where("size > 0").groupBy("key", "class", "bin").agg(F.sum(F.col("parts") * F.col("size")).cast("decimal(38,0)").alias("want"), F.sum(F.col("down") * F.col("size")).alias("down"), F.sum(F.when(F.col("frac") > 0, F.col("size")).otherwise(0)).alias("up"))
-    edges = count.groupBy("key").applyInPandas(_edges, "key string, class int, edge int")  # at most classes times bins rows a source
+    # The counts settle first: what meets per source then is at most classes times bins rows, not what each task had of it.
+    edges = cut(count, "counts").groupBy("key").applyInPandas(_edges, "key string, class int, edge int")
     out = rated.join(cut(edges, "edges"), ["key", "class"], "left")
     copies = F.when(F.col("size") > 0, F.col("down") + ((F.col("frac") > 0) & (F.col("bin") < F.col("edge"))).cast("long")).otherwise(0).cast("long")
     return out.select("doc_id", F.col("size").cast("long").alias("size"), F.col("source_size"), F.col("target"), (F.col("parts") / UNIT).alias("rate"), copies.alias("copies"), *extra)
