@@ -183,25 +183,31 @@ class Model:
         """Baum-Welch counts of ``stretches`` (padded rows of classes, longest first)."""
         n, t_max, k = len(stretches), int(length.max()), len(self.start)
         alive = np.searchsorted(-length, -np.arange(t_max), side="left")  # rows longer than t
-        alpha, scale = np.zeros((t_max, n, k)), np.ones((t_max, n))
+        at = np.ascontiguousarray(stretches.T)  # a step's classes side by side
+        # States as rows; single precision is ample for counts that are scaled at each step.
+        emission, onward = np.ascontiguousarray(self.emit.T, dtype="f4"), self.move.astype("f4")
+        alpha, scaled = np.zeros((t_max, k, n), "f4"), np.zeros((t_max, k, n), "f4")  # scaled: emissions over the step's scale
+        a = None
         for t in range(t_max):
             m = alive[t]
-            e = self.emit[stretches[:m, t]]
-            a = (self.start if t == 0 else alpha[t - 1, :m] @ self.move) * e
-            s = a.sum(axis=1)
-            alpha[t, :m], scale[t, :m] = a / s[:, None], s
-        beta = np.ones((n, k))
-        emit, move = np.zeros_like(self.emit), np.zeros((k, k))
-        for t in range(t_max - 1, -1, -1):
+            e = emission.take(at[t, :m], axis=1)
+            a = (self.start[:, None].astype("f4") if t == 0 else onward.T @ a[:, :m]) * e
+            s = 1 / a.sum(axis=0)
+            a *= s
+            e *= s
+            alpha[t, :, :m], scaled[t, :, :m] = a, e
+        beta = np.ones((k, n), "f4")
+        move = np.zeros((k, k))
+        for t in range(t_max - 1, 0, -1):
             m = alive[t]
-            gamma = alpha[t, :m] * beta[:m]
-            for j in range(k):
-                emit[:, j] += np.bincount(stretches[:m, t], weights=gamma[:, j], minlength=len(emit))
-            if t:
-                back = self.emit[stretches[:m, t]] * beta[:m] / scale[t, :m, None]
-                move += alpha[t - 1, :m].T @ back
-                beta[:m] = back @ self.move.T
-        start = (alpha[0] * beta)[opening].sum(axis=0) if opening.any() else np.zeros(k)
+            back = scaled[t, :, :m] * beta[:, :m]
+            move += alpha[t - 1, :, :m] @ back.T
+            alpha[t, :, :m] *= beta[:, :m]  # the chance of each state at t
+            beta[:, :m] = onward @ back
+        alpha[0] *= beta
+        flat = at[:t_max].ravel()
+        emit = np.stack([np.bincount(flat, weights=alpha[:, j].ravel(), minlength=len(self.emit)) for j in range(k)], axis=1)
+        start = alpha[0][:, opening].sum(axis=1, dtype="f8")
         return start, move * self.move, emit
 
     @staticmethod
@@ -216,12 +222,13 @@ class Model:
         flat, at = np.concatenate([sequences[i] for i in order]), np.concatenate([[0], np.cumsum(length[order])[:-1]])
         alive = np.searchsorted(-length[order], -np.arange(length.max()), side="left")
         total, a = np.zeros(len(order)), None
+        emission, onward = np.ascontiguousarray(self.emit.T), np.ascontiguousarray(self.move.T)
         for t in range(int(length.max())):
             m = alive[t]
-            e = self.emit[flat[at[:m] + t]]
-            a = (self.start if t == 0 else a[:m] @ self.move) * e
-            s = a.sum(axis=1)
-            a /= s[:, None]
+            e = emission.take(flat[at[:m] + t], axis=1)
+            a = (self.start[:, None] if t == 0 else onward @ a[:, :m]) * e
+            s = a.sum(axis=0)
+            a /= s
             total[:m] += np.log10(s)
         out = np.zeros(len(order))
         out[order] = total
