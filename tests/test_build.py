@@ -96,3 +96,22 @@ def test_palettes_and_strips():
     parent = rng.integers(0, 256, (256, 256, 4), dtype=np.uint8)
     strip = raster.example_strip(raster.doubled(parent, 0, 0), parent, 0, 0)
     assert strip.shape == (256, 768, 4) and not strip[:, 512:, :3].any()
+
+
+def test_command_line(spark, tmp_path, capsys):
+    import json
+
+    from quadloom.__main__ import main
+
+    a, b, c = (str(tmp_path / n) for n in ("a.mbtiles", "b.mbtiles", "c.mbtiles"))
+    archive(spark, a, "one", [(6, x, y, image(PAPER)) for x in (9, 10) for y in (9, 10)])
+    assert main(["strip", a, b, "--stages", "black-tiles", "--radius", "16"]) == 0
+    assert main(["rebuild", b, c]) == 0
+    assert main(["inspect", c]) == 0
+    said = json.loads(capsys.readouterr().out.splitlines()[-1])
+    assert said["levels"] == {"4": 1, "5": 4, "6": 4} and "pyramid_pending" not in said["metadata"]
+    assert main(["diff", c, a]) == 0 and main(["preview", c, str(tmp_path / "p.png"), "--at=-128,78", "--z", "6", "--size", "64x64"]) == 0
+    assert main(["novelty", c]) == 0 and main(["strip", a, b, "--scan"]) == 0
+    (tmp_path / "out").mkdir()
+    assert main(["publish", c, "--out", str(tmp_path / "out")]) == 0 and (tmp_path / "out" / "manifest.json").exists()
+    assert png.decode((tmp_path / "p.png").read_bytes()).shape == (64, 64, 4)
