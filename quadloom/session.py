@@ -39,10 +39,14 @@ def settled(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     Rounds of an iteration start from files: lineage and size estimates don't
-    pile up, and a lost executor costs one read.
+    pile up, and a lost executor costs one read. The table goes with the
+    driver's JVM.
     """
     import uuid
 
-    path = f"{shared_dir(df.sparkSession)}/quadloom/round-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/quadloom/round-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
