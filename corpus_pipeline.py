@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quadloom.llm import line_dedup, mixing, packing, quality, simhash
-from quadloom.llm.common import cut, read
+from quadloom.llm.common import cut, drop_tables, kept_tables, read
 
 ORACLE_SQL = None
 
@@ -54,7 +54,8 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir)
+    docs, before = read(spark, sf_dir), kept_tables()
     for name, stage in STAGES[:-1]:
         docs = cut(stage(spark, docs, sf_dir), name)
+        drop_tables(spark, before, docs)  # what the stages so far wrote, but for their result
     return STAGES[-1][1](spark, docs, sf_dir)

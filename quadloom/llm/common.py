@@ -81,31 +81,39 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back.
 
     The lineage ends there, the statistics are those of the files, and a lost
-    executor costs a read, not the stages before it.
+    executor costs a read, not the stages before it. The table goes with the
+    driver's JVM at the latest, or with ``drop_tables``.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quadloom/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _TABLES.append(path)
+    _filesystem(spark, path).deleteOnExit(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path))
     # What the write shuffled is not needed again; Spark deletes shuffle files only after a collection.
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
-def drop_tables(spark: SparkSession, keep: int = 0) -> None:
-    """Deletes the tables that ``cut`` wrote in this process, when their readers are done."""
-    while len(_TABLES) > keep:
-        remove(spark, _TABLES.pop())
+def kept_tables() -> int:
+    """How many tables ``cut`` has written in this process and not deleted."""
+    return len(_TABLES)
 
 
-def remove(spark: SparkSession, path: str) -> None:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+def drop_tables(spark: SparkSession, first: int = 0, but: DataFrame | None = None) -> None:
+    """Deletes the tables that ``cut`` wrote in this process from number ``first`` on, but for the one behind ``but``.
+
+    Nothing may read them afterwards.
+    """
+    keep = {f.rsplit("/", 2)[1] for f in but.inputFiles()} if but is not None else set()
+    for path in _TABLES[first:]:
+        if path.rsplit("/", 1)[1] not in keep:
+            remove(spark, path)
+            _TABLES.remove(path)
 
 
-def release(df: DataFrame) -> None:
-    """Deletes the table behind a DataFrame that ``cut`` gave; nothing may read it afterwards."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        for kept in [p for p in _TABLES if p.rsplit("/", 1)[1] == path.rsplit("/", 1)[1]]:
-            remove(df.sparkSession, kept)
-            _TABLES.remove(kept)
+def _filesystem(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    _filesystem(spark, path).delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path), True)
