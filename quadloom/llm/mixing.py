@@ -33,6 +33,7 @@ from .common import count_words, cut, prefixed, read, text_of
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 UNIT = 1 << 20  # rates are counted in these parts
 BINS = 256
+SMALL = 1 << 16
 
 
 def source_key(c: Column) -> Column:
@@ -62,7 +63,9 @@ def _rate(base: Column, dual: Column, mean: Column, cap: Column, size: Column) -
 
 
 def _lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    return spark.createDataFrame(rows, schema)
+    """A row per source; broadcast up to ``SMALL`` sources, so that documents stay where they are, and joined by shuffle beyond."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= SMALL else table
 
 
 def solve_dual(hist: DataFrame, want: dict[str, float], have: dict[str, int], docs: dict[str, int], base: float, cap: float, tolerance: float = 1e-7, most: int = 60) -> dict[str, float]:
