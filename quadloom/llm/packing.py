@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import cut, prefixed, read, text_of
 
 LENGTH, END, SHARD = 2048, 0, 4096
-CACHED_WORDS, PART_BYTES = 300_000, 4_000_000
+CACHED_WORDS, PART_BYTES = 500_000, 4_000_000
 SEPARATOR = "<|endoftext|>"
 MARKS = ".,;:!?"
 
@@ -123,15 +123,15 @@ class WordCoder:
                 continue
             split = [t.split() for t in texts[first : i + 1]]
             first, size = i + 1, 0
-            fresh = self._encode(list(set().union(*split).difference(known)))
+            found = [list(map(known.get, words)) for words in split]
+            fresh = self._encode(list({w for words, ids in zip(split, found) for w, x in zip(words, ids) if x is None}))
             if len(known) < self.cached:
                 known.update(fresh)
-                fresh = {}
-            for words in split:
-                if fresh:
-                    yield b"".join([known[w] if w in known else fresh[w] for w in words])
-                else:
-                    yield b"".join([known[w] for w in words])
+            for words, ids in zip(split, found):
+                try:
+                    yield b"".join(ids)
+                except TypeError:  # a new word
+                    yield b"".join([fresh[w] if x is None else x for w, x in zip(words, ids)])
 
 
 def _piece_rows(path: str, length: int, end: int):
