@@ -37,9 +37,10 @@ def candidates(frontier: DataFrame | None, limits: DataFrame, z: int, full_until
     here = limits.where(F.col("z") == z)
     if frontier is None or z <= full_until:
         return g.cells(here, ["z"]).select(*KEYS).distinct()
-    box = F.broadcast(here.select(F.col("z").alias("bz"), "x0", "x1", "y0", "y1"))  # one row
-    inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1")) & (F.col("z") == F.col("bz"))
-    return g.children(frontier).distinct().join(box, inside, "left_semi")
+    inside = F.lit(False)
+    for r in here.collect():  # a rectangle or a few: a filter, not a join
+        inside = inside | (F.col("x").between(r["x0"], r["x1"]) & F.col("y").between(r["y0"], r["y1"]))
+    return g.children(frontier.where(F.col("z") == z - 1)).distinct().where(inside)
 
 
 def descent(seed: DataFrame, fetch: Fetch, low: int, high: int, done: DataFrame | None = None) -> DataFrame:
