@@ -65,7 +65,7 @@ def line_fails(line: Column) -> Column:
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: int = MAX_LOST) -> DataFrame:
-    """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_words, text``; ``cleaned`` is the text without failed lines."""
+    """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_words, cleaned``: the verdicts and the text without failed lines."""
     rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col))
     rows = rows.select("doc_id", "text", words_of(F.col("text")).alias("words"), F.filter(lines_of(F.col("text")), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))).alias("lines"))
     rows = rows.select(
@@ -76,7 +76,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
     lost = F.aggregate("failed", F.lit(0).cast("long"), lambda a, x: a + count_words(x))
     rows = rows.withColumns({"base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT), "n_lost_words": lost})
     rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_lost_words") * 100 <= F.col("n_words") * max_lost))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words", "text")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words", cleaned(F.col("text")).alias("cleaned"))
 
 
 def cleaned(text: Column) -> Column:
@@ -95,7 +95,7 @@ def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read(spark, sf_dir)).drop("text")
+    return judge(read(spark, sf_dir)).drop("cleaned")
 
 
 ORACLE_SQL = rf"""
