@@ -115,3 +115,45 @@ def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "out").mkdir()
     assert main(["publish", c, "--out", str(tmp_path / "out")]) == 0 and (tmp_path / "out" / "manifest.json").exists()
     assert png.decode((tmp_path / "p.png").read_bytes()).shape == (64, 64, 4)
+
+
+def test_crawl_and_refresh_over_http(spark, tmp_path, capsys):
+    import json
+    import re
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    from quadloom.__main__ import main
+
+    state = {"body": image(PAPER)}
+
+    class Tiles(BaseHTTPRequestHandler):
+        def do_GET(self):  # noqa: N802
+            z, y, x = map(int, re.search(r"tilematrix=M:(\d+)&tilerow=(\d+)&tilecol=(\d+)", self.path).groups())
+            code = 200 if x == y else 404
+            if self.headers.get("If-Modified-Since") and x != 4:
+                code = 304
+            self.send_response(code)
+            self.send_header("Last-Modified", "Tue, 02 Jun 2026 07:08:09 GMT")
+            self.send_header("Content-Length", str(len(state["body"]) if code == 200 else 0))
+            self.end_headers()
+            if code == 200:
+                self.wfile.write(state["body"])
+
+        def log_message(self, *a):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Tiles)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        a = str(tmp_path / "a.mbtiles")
+        base = f"http://127.0.0.1:{server.server_port}/wmts"
+        assert main(["crawl", a, "--base", base, "--layer", "one", "--matrix", "M", "--bbox=-179,-80,179,80", "--zmin", "1", "--zmax", "3", "--solid", "2"]) == 0
+        assert {(r.z, r.x, r.y) for r in build.load(spark, a).collect()} == {(z, x, x) for z in (1, 2, 3) for x in range(1 << z)}
+        mbtiles.set_metadata(a, {"downloaded": "2026-06-03"})
+        state["body"] = image((1, 2, 200, 255))
+        assert main(["refresh", a, "--base", base, "--layer", "one", "--matrix", "M", "--today", "2026-07-01"]) == 0
+        assert json.loads(capsys.readouterr().out.splitlines()[-1]) == {"checked": 14, "updated": 1, "removed": 0, "errors": 0}
+        assert mbtiles.read_metadata(a)["downloaded"] == "2026-07-01"
+    finally:
+        server.shutdown()
