@@ -17,7 +17,8 @@ id loses its words. Equal word sequences are collapsed first. Then
 
 Shuffled are minimizers and stretches, a fraction of the text, and the texts of
 the documents once for cutting and once for removing. Groups are bounded by the
-salts, automata by ``SHARD`` phrases.
+salts; an automaton holds the windows of ``SHARD`` different ones and of the
+group it ends in.
 
 Defined cases: null text has no words; fewer words than a window: nothing goes;
 rows that repeat an id don't remove each other's words; a null id counts as the
@@ -28,6 +29,7 @@ are ignored.
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,24 +42,49 @@ from .common import cut, prefixed, read, text_of
 
 WINDOW, GRAM = 13, 4
 SALT_ROWS = 4096
-SHARD = 40_000
-CACHED = 300_000
+# Windows to an automaton: small ones stay in a core's cache; salted groups are streamed once for each of theirs.
+SHARD, SALTED_SHARD = 2_000, 40_000
 NULL_ID = -(1 << 63)
 
 
-class Words(dict):
-    """64-bit hashes of words, as bytes; those of the first ``CACHED`` words are kept."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        import xxhash
-
-        digest = xxhash.xxh64_digest(word)
-        if len(self) < CACHED:
-            self[word] = digest
-        return digest
-
-    def numbers(self, words: list[bytes]) -> np.ndarray:
-        return np.frombuffer(b"".join([self[w] for w in words]), dtype="<u8")
+class WordHashes:
+    """64-bit hashes of the words of a text whose words are joined by one space.
+
+    A polynomial over the bytes, from prefix sums and brought to the word's own
+    start, so equal words have equal hashes wherever they stand. Chance
+    equality only makes texts meet; what is repeated is settled on the words.
+    """
+
+    def __init__(self, block: int = 1 << 18):
+        base, size = 0x9E3779B97F4A7C15, block + (1 << 12)
+        self.block = block
+        self.power = np.cumprod(np.full(size, base, dtype="<u8"))
+        self.inverse = np.cumprod(np.full(size, pow(base, -1, 1 << 64), dtype="<u8"))
+
+    def __call__(self, joined: bytes) -> np.ndarray:
+        if len(joined) <= self.block:
+            return self._hashes(joined)
+        out, at = [], 0
+        while at < len(joined):
+            end = joined.rfind(b" ", at, at + self.block)
+            if end < at or at + self.block >= len(joined):
+                end = len(joined) if at + self.block >= len(joined) else joined.find(b" ", at)
+                end = len(joined) if end < 0 else end
+            out.append(self._hashes(joined[at:end]))
+            at = end + 1
+        return np.concatenate(out)
+
+    def _hashes(self, joined: bytes) -> np.ndarray:
+        b = np.frombuffer(joined, dtype="u1")
+        if len(b) > len(self.power):  # one word of that length
+            import xxhash
+
+            return np.array([xxhash.xxh64_intdigest(joined)], dtype="<u8")
+        total = np.zeros(len(b) + 1, dtype="<u8")
+        np.cumsum(self.power[: len(b)] * (b + np.uint64(1)), out=total[1:])
+        gap = np.flatnonzero(b == 32)
+        start, end = np.concatenate([[0], gap + 1]), np.concatenate([gap, [len(b)]])
+        return (total[end] - total[start]) * self.inverse[start]
 
 
 def minimizers(a: np.ndarray, window: int = WINDOW, gram: int = GRAM) -> np.ndarray:
@@ -84,7 +111,7 @@ def runs(value: np.ndarray) -> np.ndarray:
 
 def _list_rows(window: int, gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = Words()
+        hashes_of = WordHashes()
         for batch in batches:
             n, sha, s1, s2, found = [], [], [], [], []
             for text in batch.column(3).to_pylist():
@@ -95,7 +122,7 @@ def _list_rows(window: int, gram: int):
                 sha.append(hashlib.sha256(joined).hexdigest())
                 s1.append(int.from_bytes(seq[:8], "little", signed=True))
                 s2.append(int.from_bytes(seq[8:], "little", signed=True))
-                mins = minimizers(words_of.numbers(words), window, gram) if len(words) >= window else np.zeros(0, "<i8")
+                mins = minimizers(hashes_of(joined), window, gram) if len(words) >= window else np.zeros(0, "<i8")
                 found.append(np.unique(mins[runs(mins)[:-1]]))
             ends = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
             mins = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found) if found else np.zeros(0, "<i8")))
@@ -106,7 +133,7 @@ def _list_rows(window: int, gram: int):
 
 def _stretch_rows(window: int, gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words_of = Words()
+        hashes_of = WordHashes()
         for batch in batches:
             keys, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out = {k: [] for k in ("h", "salts", "salt", "key_id", "text_h", "pos", "words")}
@@ -115,7 +142,7 @@ def _stretch_rows(window: int, gram: int):
                 words = text.split()
                 if len(words) < window:
                     continue
-                value = minimizers(words_of.numbers(words), window, gram)
+                value = minimizers(hashes_of(b" ".join(words)), window, gram)
                 order = np.argsort(mins := np.array(mins, dtype="<i8"))
                 mins, salts = mins[order], np.array(salts)[order]
                 # Runs of windows with one minimizer: a repeated word is one stretch, not one a window.
@@ -138,27 +165,31 @@ def _stretch_rows(window: int, gram: int):
 
 
 class Shard:
-    """Stretches and the confirmed windows that an automaton finds in them."""
+    """Stretches and the confirmed windows that an automaton finds in them.
+
+    Words are numbered within the shard; a window's key is its numbers as bytes.
+    """
 
     def __init__(self, window: int):
         self.window, self.number = window, {}
-        self.first: dict[tuple, int] = {}
-        self.phrases: dict[tuple, int] = {}
-        self.stretches: list[tuple[int, int, int, tuple]] = []
+        self.first: dict[bytes, int] = {}
+        self.phrases: dict[bytes, int] = {}
+        self.stretches: list[tuple[int, int, int, array]] = []
 
-    def numbers(self, words: bytes) -> tuple:
+    def numbers(self, words: bytes) -> array:
         number = self.number
-        return tuple([number.setdefault(w, len(number)) for w in words.split()])
+        return array("I", [number.setdefault(w, len(number)) for w in words.split(b" ")])
 
     def add(self, key: int, text_h: int, pos: int, words: bytes) -> None:
         """Stretches of one minimizer come by rising id, so a window's first document comes first."""
         ids = self.numbers(words)
         self.stretches.append((key, text_h, pos, ids))
-        for i in range(len(ids) - self.window + 1):
-            w = ids[i : i + self.window]
-            first = self.first.setdefault(w, key)
-            if first != key:
-                self.phrases[w] = min(first, self.phrases.get(w, first))
+        raw, first, width = ids.tobytes(), self.first, ids.itemsize * self.window
+        for i in range(0, len(raw) - width + 1, ids.itemsize):
+            w = raw[i : i + width]
+            f = first.setdefault(w, key)
+            if f != key:
+                self.phrases[w] = f if w not in self.phrases else min(f, self.phrases[w])
 
     def located(self) -> Iterator[tuple[int, int, list[int]]]:
         """``id, text_h, starts`` of the windows that a document with a smaller id holds too."""
@@ -168,10 +199,11 @@ class Shard:
             return
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for w, first in self.phrases.items():
-            automaton.add_word(w, first)
+            automaton.add_word(tuple(array("I", w)), first)
         automaton.make_automaton()
         for key, text_h, pos, ids in self.stretches:
-            starts = [pos + end - self.window + 1 for end, first in automaton.iter(ids) if first < key]
+            shift = pos - self.window + 1
+            starts = [shift + end for end, first in automaton.iter(tuple(ids)) if first < key]
             if starts:
                 yield key, text_h, starts
 
@@ -215,7 +247,7 @@ def _confirm_rows(window: int):
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(4)]
             for h, n, key, words in zip(*columns):
-                if last is not None and (h != last or len(seen) >= SHARD):
+                if last is not None and (h != last or len(seen) >= SALTED_SHARD):
                     yield give(last)
                 last, salts = h, n
                 split = words.split()
@@ -232,10 +264,10 @@ def _confirm_rows(window: int):
 def _locate_salted(window: int):
     def locate(stretches: pd.DataFrame, phrases: pd.DataFrame) -> pd.DataFrame:
         found = []
-        for a in range(0, max(len(phrases), 1), SHARD):
+        for a in range(0, max(len(phrases), 1), SALTED_SHARD):
             shard = Shard(window)
-            for p, lo in zip(phrases["phrase"].iloc[a : a + SHARD], phrases["lo"].iloc[a : a + SHARD]):
-                shard.phrases[shard.numbers(p)] = lo
+            for p, lo in zip(phrases["phrase"].iloc[a : a + SALTED_SHARD], phrases["lo"].iloc[a : a + SALTED_SHARD]):
+                shard.phrases[shard.numbers(p).tobytes()] = lo
             shard.stretches = [(k, t, pos, shard.numbers(w)) for k, t, pos, w in zip(stretches["key_id"], stretches["text_h"], stretches["pos"], stretches["words"])]
             found += shard.located()
         return pd.DataFrame(found, columns=["key_id", "text_h", "starts"])
