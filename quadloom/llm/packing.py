@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import cut, prefixed, read, text_of
 
 LENGTH, END, SHARD = 2048, 0, 4096
-CACHED_WORDS, PART_BYTES = 500_000, 4_000_000
+CACHED_WORDS, PART_BYTES = 300_000, 2_000_000
 SEPARATOR = "<|endoftext|>"
 MARKS = ".,;:!?"
 
