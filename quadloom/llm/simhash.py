@@ -4,7 +4,7 @@ A text's fingerprint takes each bit from the majority of its word shingles'
 XXH64 values. Fingerprints at ``THRESHOLD`` or fewer differing bits link.
 
 The anchors are products of binary Golay codes (length 23, covering radius 3,
-perfect): 46 of the 64 bits give 2^24 anchors, all 64 bits give about 2^31. A
+perfect): two blocks, 46 of the 64 bits, give 2^24 anchors, all three up to 2^36. A
 fingerprint goes to every anchor within covering radius plus threshold, counted
 over the blocks together (about 61 anchors for two blocks). Of two linked
 fingerprints one has its nearest anchor within the radius, and the other is
