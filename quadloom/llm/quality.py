@@ -54,13 +54,12 @@ def repeat_words(words: Column) -> Column:
 
 
 def line_fails(line: Column) -> Column:
-    n = count_words(line)
-    # Most lines hold no such mark; only the others are counted.
-    marks = lambda p: F.when(F.rlike(line, F.lit(p)), F.regexp_count(line, F.lit(p))).otherwise(0)
+    # Most lines hold none of the marks; words are counted only for the others.
+    n, has, count = count_words(line), lambda p: F.rlike(line, F.lit(p)), lambda p: F.regexp_count(line, F.lit(p))
     return (
-        (marks(PUNCT_RUN) * 100 > n * PUNCT_SHARE)
-        | ((n <= SHORT_WORDS) & (marks(NAV_MARK) >= NAV_MARKS))
-        | ((n <= SHORT_WORDS) & F.rlike(line, F.lit(BOILERPLATE)))
+        (has(PUNCT_RUN) & (count(PUNCT_RUN) * 100 > n * PUNCT_SHARE))
+        | (has(NAV_MARK) & (count(NAV_MARK) >= NAV_MARKS) & (n <= SHORT_WORDS))
+        | (has(BOILERPLATE) & (n <= SHORT_WORDS))
     )
 
 
