@@ -1,9 +1,10 @@
 """Quality rules, line first: bad lines go, then documents that lose too much.
 
 Every line with a word is held against three rules: punctuation (runs of ! ? .
-in over ``PUNCT_SHARE`` percent of its words), navigation (a short line of menu
-separators) and boilerplate (a short line with a stock phrase). A document is
-rejected if the base rules fail or the failed lines hold over
+in over ``PUNCT_SHARE`` percent of its words), navigation (menu separators, in a
+short line or as ``NAV_SHARE`` percent of a longer one's words) and boilerplate
+(a short line with a stock phrase). A document is rejected if the base rules
+fail or the failed lines hold over
 ``max_lost`` percent of its words. All of it is DataFrame functions within a
 row; nothing is shuffled.
 
@@ -29,6 +30,7 @@ BOILERPLATE = (
 )
 SYMBOLS = r"[#*$%&|<>]"
 PUNCT_SHARE, NAV_MARKS, SHORT_WORDS, MAX_LOST = 30, 3, 30, 50
+NAV_SHARE = 20
 MIN_WORDS, MAX_REPEAT = 50, 50
 
 
@@ -53,48 +55,52 @@ def repeat_words(words: Column) -> Column:
     return F.when(F.size(words) < 4, F.lit(0)).otherwise(plain).cast("long")
 
 
-def line_fails(line: Column) -> Column:
+def line_fails(line: Column, whole: bool = True) -> Column:
+    """Whether a line fails a rule; without ``whole``, a rule of ``ORACLE_SQL``, which knows no long menu lines."""
     # Most lines hold none of the marks; words are counted only for the others.
     n, has, count = count_words(line), lambda p: F.rlike(line, F.lit(p)), lambda p: F.regexp_count(line, F.lit(p))
+    menu = (n <= SHORT_WORDS) | (count(NAV_MARK) * 100 >= n * NAV_SHARE) if whole else n <= SHORT_WORDS
     return (
         (has(PUNCT_RUN) & (count(PUNCT_RUN) * 100 > n * PUNCT_SHARE))
-        | (has(NAV_MARK) & (count(NAV_MARK) >= NAV_MARKS) & (n <= SHORT_WORDS))
+        | (has(NAV_MARK) & (count(NAV_MARK) >= NAV_MARKS) & menu)
         | (has(BOILERPLATE) & (n <= SHORT_WORDS))
     )
 
 
-def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: int = MAX_LOST) -> DataFrame:
+def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: int = MAX_LOST, whole: bool = True) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_words, cleaned``: the verdicts and the text without failed lines."""
+    fails = lambda x: line_fails(x, whole)
     rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col))
     rows = rows.select("doc_id", "text", words_of(F.col("text")).alias("words"), F.filter(lines_of(F.col("text")), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))).alias("lines"))
     rows = rows.select(
         "doc_id", "text", F.size("words").cast("long").alias("n_words"), F.length(F.regexp_replace("text", SPACE_CLASS + "+", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"), (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        let(F.col("words"), repeat_words).alias("n_repeat_words"), F.filter("lines", line_fails).alias("failed"),
+        let(F.col("words"), repeat_words).alias("n_repeat_words"), F.filter("lines", fails).alias("failed"),
     )
     lost = F.aggregate("failed", F.lit(0).cast("long"), lambda a, x: a + count_words(x))
     rows = rows.withColumns({"base_failed": (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT), "n_lost_words": lost})
     rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_lost_words") * 100 <= F.col("n_words") * max_lost))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words", cleaned(F.col("text")).alias("cleaned"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lost_words", cleaned(F.col("text"), whole).alias("cleaned"))
 
 
-def cleaned(text: Column) -> Column:
+def cleaned(text: Column, whole: bool = True) -> Column:
     """The text without the lines that fail (blank lines stay)."""
-    return F.array_join(F.filter(lines_of(F.coalesce(text, F.lit(""))), lambda x: ~line_fails(x)), "\n")
+    return F.array_join(F.filter(lines_of(F.coalesce(text, F.lit(""))), lambda x: ~line_fails(x, whole)), "\n")
 
 
 def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: int = MAX_LOST) -> DataFrame:
     """The rows of ``docs``, all columns as they were, that the rules keep."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("q_id"), F.col(text_col).alias("q_text"))
     words = words_of(F.coalesce("q_text", F.lit("")))
-    rows = whole.select("row", "q_text", words.alias("words"), F.filter(lines_of(text_of("q_text")), line_fails).alias("failed"))
+    rows = whole.select("row", "q_text", words.alias("words"), F.filter(lines_of(text_of("q_text")), lambda x: line_fails(x)).alias("failed"))
     rows = rows.select("row", F.size("words").alias("n"), let(F.col("words"), repeat_words).alias("again"), F.aggregate("failed", F.lit(0).cast("long"), lambda a, x: a + count_words(x)).alias("lost"))
     good = (F.col("n") >= MIN_WORDS) & (F.col("again") * 100 <= F.col("n") * MAX_REPEAT) & (F.col("lost") * 100 <= F.col("n") * max_lost)
     return rows.where(good).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge(read(spark, sf_dir)).drop("cleaned")
+    """The verdicts as ``ORACLE_SQL`` states the rules; the pipeline's stage applies the whole ones."""
+    return judge(read(spark, sf_dir), whole=False).drop("cleaned")
 
 
 ORACLE_SQL = rf"""

@@ -370,6 +370,15 @@ def test_quality_lines(spark):
     assert df.select(quality.cleaned(F.col("text")).alias("t")).first().t == "A fine line.\n"
 
 
+def test_long_menu_lines_fail_by_their_density(spark):
+    menu = " | ".join(f"item{i}" for i in range(60))
+    prose = " ".join(f"word{i}" for i in range(60)) + " a | b | c | d"
+    df = spark.createDataFrame([(1, menu), (2, prose), (3, menu.replace("|", "›"))], "doc_id long, text string")
+    assert not any(r.base_failed for r in quality.judge(df).collect())
+    assert [r.doc_id for r in quality.judge(df).where("kept").collect()] == [2]
+    assert [r.doc_id for r in quality.quality_filter(df).collect()] == [2]
+
+
 def test_license_labels_and_order(spark):
     rows = [(1, "Licensed under the Apache License, Version 2.0."), (2, "All rights\nreserved all-rights-RESERVED"), (3, "released under a MIT license"), (4, "the terms of it"), (5, None), (6, "CC BY-SA 4.0 licensed under; cc/by")]
     got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
