@@ -1,10 +1,10 @@
 """Quality rules, line first: bad lines go, then documents that lose too much.
 
 Every line with a word is held against three rules: punctuation (runs of ! ? .
-in over ``PUNCT_SHARE`` percent of its words), navigation (menu separators, in a
-short line or as ``NAV_SHARE`` percent of a longer one's words) and boilerplate
-(a short line with a stock phrase). A document is rejected if the base rules
-fail or the failed lines hold over
+or of symbols, but for a heading's mark, in over ``PUNCT_SHARE`` percent of its
+words), navigation (menu separators, in a short line or as ``NAV_SHARE`` percent
+of a longer one's words) and boilerplate (a short line with a stock phrase). A
+document is rejected if the base rules fail or the failed lines hold over
 ``max_lost`` percent of its words. All of it is DataFrame functions within a
 row; nothing is shuffled.
 
@@ -23,6 +23,7 @@ from .common import SPACE_CLASS, count_words, let, lines_of, prefixed, read, tex
 
 # Patterns of the line rules (valid for Java and RE2 alike).
 PUNCT_RUN = r"[!?]{2,}|[.]{4,}"
+SYMBOL_RUN, HEADING = r"[#*$%&|<>]{3,}", r"^[\x20\x09]*#{3,6}[\x20\x09]"
 NAV_MARK = r"[|»›•·]|>>|::"
 BOILERPLATE = (
     r"(?i)(cookie policy|privacy policy|terms of (use|service)|accept (all )?cookies|subscribe to our|sign up for|log ?in to|"
@@ -56,12 +57,14 @@ def repeat_words(words: Column) -> Column:
 
 
 def line_fails(line: Column, whole: bool = True) -> Column:
-    """Whether a line fails a rule; without ``whole``, a rule of ``ORACLE_SQL``, which knows no long menu lines."""
+    """Whether a line fails a rule; without ``whole``, a rule of ``ORACLE_SQL``, which knows neither long menu lines nor runs of symbols."""
     # Most lines hold none of the marks; words are counted only for the others.
     n, has, count = count_words(line), lambda p: F.rlike(line, F.lit(p)), lambda p: F.regexp_count(line, F.lit(p))
     menu = (n <= SHORT_WORDS) | (count(NAV_MARK) * 100 >= n * NAV_SHARE) if whole else n <= SHORT_WORDS
+    runs = f"{PUNCT_RUN}|{SYMBOL_RUN}" if whole else PUNCT_RUN
+    marks = count(runs) - has(HEADING).cast("int") if whole else count(runs)
     return (
-        (has(PUNCT_RUN) & (count(PUNCT_RUN) * 100 > n * PUNCT_SHARE))
+        (has(runs) & (marks * 100 > n * PUNCT_SHARE))
         | (has(NAV_MARK) & (count(NAV_MARK) >= NAV_MARKS) & menu)
         | (has(BOILERPLATE) & (n <= SHORT_WORDS))
     )

@@ -379,6 +379,23 @@ def test_long_menu_lines_fail_by_their_density(spark):
     assert [r.doc_id for r in quality.quality_filter(df).collect()] == [2]
 
 
+def test_runs_of_symbols_fail_by_the_method(spark):
+    junk = " ".join(f"word{i}" + ("###", "$$$", "%%%", "&&&", "***")[i % 5] for i in range(80))
+    heads = "\n".join(f"### Title {i}\n" + " ".join(f"word{i}x{k}" for k in range(9)) for i in range(20))
+    df = spark.createDataFrame([(1, junk), (2, heads), (3, "a **bold** word & some C# for $5 " + heads)], "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.judge(df).collect()}
+    assert not any(r.base_failed for r in got.values()) and [i for i in got if got[i].kept] == [2, 3]
+    assert got[1].n_lost_words == 80 and got[2].n_lost_words == 0
+
+
+def test_labelled_junk_is_rejected_by_the_method(spark):
+    tables = [spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels")]
+    junk = quality.judge(tables[0]).join(tables[1].select("doc_id", "quality"), "doc_id").where("quality = 0 AND NOT base_failed")
+    runs = F.regexp_count(F.col("text"), F.lit(r"[#$%&*]{3}")) * 100 > F.col("n_words") * 30
+    got = junk.join(tables[0].select("doc_id", "text"), "doc_id").where(runs).select("kept").collect()
+    assert got and not any(r.kept for r in got)
+
+
 def test_license_labels_and_order(spark):
     rows = [(1, "Licensed under the Apache License, Version 2.0."), (2, "All rights\nreserved all-rights-RESERVED"), (3, "released under a MIT license"), (4, "the terms of it"), (5, None), (6, "CC BY-SA 4.0 licensed under; cc/by")]
     got = {r.doc_id: r for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
