@@ -19,8 +19,9 @@ ORACLE_SQL = None
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules reject go; the others keep their whole text."""
-    return quality.quality_filter(docs)
+    """Documents and lines that the rules reject go; ``n_chars`` follows the text."""
+    out = quality.quality_filter(docs)
+    return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in out.columns else out
 
 
 def common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

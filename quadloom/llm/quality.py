@@ -92,13 +92,13 @@ def cleaned(text: Column, whole: bool = True) -> Column:
 
 
 def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: int = MAX_LOST) -> DataFrame:
-    """The rows of ``docs``, all columns as they were, that the rules keep."""
+    """The rows of ``docs`` that the rules keep, without their failed lines; the other columns as they were."""
     whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("q_id"), F.col(text_col).alias("q_text"))
     words = words_of(F.coalesce("q_text", F.lit("")))
     rows = whole.select("row", "q_text", words.alias("words"), F.filter(lines_of(text_of("q_text")), lambda x: line_fails(x)).alias("failed"))
     rows = rows.select("row", F.size("words").alias("n"), let(F.col("words"), repeat_words).alias("again"), F.aggregate("failed", F.lit(0).cast("long"), lambda a, x: a + count_words(x)).alias("lost"))
     good = (F.col("n") >= MIN_WORDS) & (F.col("again") * 100 <= F.col("n") * MAX_REPEAT) & (F.col("lost") * 100 <= F.col("n") * max_lost)
-    return rows.where(good).select("row.*")
+    return rows.where(good).select("row.*").withColumn(text_col, cleaned(F.col(f"`{text_col}`")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -379,6 +379,14 @@ def test_long_menu_lines_fail_by_their_density(spark):
     assert [r.doc_id for r in quality.quality_filter(df).collect()] == [2]
 
 
+def test_quality_stage_removes_failed_lines(spark):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    clean = " ".join(f"Clean{i} sentence{i}." for i in range(60))
+    rows = [(1, f"Home | About | Contact | Help\n{clean}\n\nWOW!! NO!!", 7), (2, clean, 7)]
+    out = corpus_pipeline.quality_rules(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), SMALL)
+    assert {r.doc_id: (r.text, r.n_chars) for r in out.collect()} == {1: (f"{clean}\n", len(clean) + 1), 2: (clean, len(clean))}
+
+
 def test_runs_of_symbols_fail_by_the_method(spark):
     junk = " ".join(f"word{i}" + ("###", "$$$", "%%%", "&&&", "***")[i % 5] for i in range(80))
     heads = "\n".join(f"### Title {i}\n" + " ".join(f"word{i}x{k}" for k in range(9)) for i in range(20))
