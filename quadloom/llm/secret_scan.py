@@ -8,12 +8,15 @@ and serial correlation, combined into one p-value. Random tokens spread their
 p-values evenly, structured ones pile up near 0; so within each stratum of
 encoding and length the evenly spread part is estimated from the upper half,
 and the lowest threshold whose expected share of structured tokens stays within
-``max_false`` decides. The strata make the control length-aware: short tokens,
+``max_false`` decides. Each different token counts once, however often it is
+copied. Strata with fewer than ``LEAST_TOKENS`` are pooled by length; where the
+pool holds too few as well, ``FEW_P`` decides. The strata make the control length-aware: short tokens,
 whose tests are weak, need a higher p-value than long ones. No token below
 ``LEAST_P`` is called random whatever its stratum holds.
 
 Positions count code points. Only DataFrame functions are used; texts are read
-once and never shuffled, a digest of spans goes to the shared folder, and what
+once and never shuffled (hashes of tokens are), a digest of spans goes to the
+shared folder, and what
 reaches the driver is at most ``ENCODINGS x BANDS`` thresholds.
 
 Defined cases: null text has no spans; repeated rows are scanned each; an empty
@@ -49,6 +52,8 @@ ENCODINGS = [
 ]
 BANDS = [24, 32, 48, 64, 128]
 BINS, LEAST_P = 20, 0.001
+# With fewer different tokens the evenly spread part can't be estimated; then tokens from FEW_P on are called.
+LEAST_TOKENS, FEW_P = 50, 0.01
 _BLOCK = 256
 
 
@@ -136,29 +141,39 @@ def candidates(text: Column) -> Column:
         band = F.lit(0)
         for edge in BANDS:
             band = band + (F.length(bare) >= edge).cast("int")
-        return F.struct(m["start"].alias("start"), m["end"].alias("end"), (kind * (len(BANDS) + 1) + band).alias("stratum"), p.alias("p"))
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), (kind * (len(BANDS) + 1) + band).alias("stratum"), p.alias("p"), F.xxhash64(bare).alias("token"))
 
     found = F.transform(F.filter(matches(text, TOKEN), lambda m: mixed(m["value"])), scored)
-    none = F.array().cast("array<struct<start:bigint,end:bigint,stratum:int,p:double>>")
+    none = F.array().cast("array<struct<start:bigint,end:bigint,stratum:int,p:double,token:bigint>>")
     return F.when(F.rlike(text, F.lit(TOKEN)), F.filter(found, lambda m: m["stratum"] >= 0)).otherwise(none)
 
 
 def thresholds(scanned: DataFrame, max_false: float = 0.05) -> dict[int, float]:
     """By stratum, the lowest p-value that counts as random (over 1: none does)."""
-    one = scanned.select(F.explode("candidates").alias("c")).select("c.stratum", F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+    one = scanned.select(F.explode("candidates").alias("c")).select("c.stratum", "c.token", F.least(F.floor(F.col("c.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+    # Copies say nothing about how p-values spread: each different token counts once.
+    one = one.groupBy("stratum", "token").agg(F.min("bin").alias("bin"))
     counts: dict[int, list[int]] = {}
     for r in one.groupBy("stratum", "bin").count().collect():  # strata times bins: a fixed number of rows at most
         counts.setdefault(r["stratum"], [0] * BINS)[r["bin"]] = r["count"]
-    out = {}
-    for stratum, bins in counts.items():
-        even = 2 * sum(bins[BINS // 2 :]) / BINS  # random tokens in each bin
-        out[stratum] = 2.0
-        for low in range(BINS):
-            called = sum(bins[low:])
-            if called and max(0.0, called - even * (BINS - low)) <= max_false * called:
-                out[stratum] = low / BINS
-                break
-    return out
+    # Strata with few tokens are pooled by length band.
+    few, pools = {s for s, bins in counts.items() if sum(bins) < LEAST_TOKENS}, {}
+    for s in few:
+        band = s % (len(BANDS) + 1)
+        pools[band] = [a + b for a, b in zip(pools.get(band, [0] * BINS), counts[s])]
+    return {s: lowest(pools[s % (len(BANDS) + 1)] if s in few else bins, max_false) for s, bins in counts.items()}
+
+
+def lowest(bins: list[int], max_false: float) -> float:
+    """The lowest p-value from which on at most ``max_false`` of the tokens are expected to be structured."""
+    if sum(bins) < LEAST_TOKENS:
+        return FEW_P
+    even = 2 * sum(bins[BINS // 2 :]) / BINS  # random tokens in each bin
+    for low in range(BINS):
+        called = sum(bins[low:])
+        if called and max(0.0, called - even * (BINS - low)) <= max_false * called:
+            return low / BINS
+    return 2.0
 
 
 def secret_scan(docs: DataFrame, max_false: float = 0.05, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -128,6 +128,38 @@ def test_random_tokens_are_found_and_words_are_not(spark):
     assert len(hit & set(range(200))) > 180 and not hit - set(range(200))
 
 
+def _histogram(spark, rows):
+    """Thresholds of rows ``(stratum, token, p, copies)``."""
+    df = spark.createDataFrame(rows, "stratum int, token long, p double, copies int")
+    one = F.struct(F.lit(0).cast("long").alias("start"), F.lit(1).cast("long").alias("end"), "stratum", "p", "token")
+    return secret_scan.thresholds(df.select(F.array_repeat(one, F.col("copies")).alias("candidates")))
+
+
+def test_copies_of_a_token_do_not_move_the_threshold(spark):
+    even = [(3, i, (i + 0.5) / 500, 1) for i in range(500)]
+    structured = [(3, 1000 + i, 0.0005, 1) for i in range(1000)]
+    assert _histogram(spark, even) == _histogram(spark, [*even, (3, 900, 0.4, 1000)]) == {3: 0.0}
+    plain = _histogram(spark, [*even, *structured])
+    assert plain == _histogram(spark, [*even, *structured, (3, 900, 0.92, 1000)]) and plain[3] > 0
+
+
+def test_few_tokens_are_pooled_or_held_against_a_fixed_value(spark):
+    assert _histogram(spark, [(3, 1, 0.3, 1), (4, 2, 0.6, 1)]) == {3: secret_scan.FEW_P, 4: secret_scan.FEW_P}
+    band = len(secret_scan.BANDS) + 1
+    pooled = [(3 + band * (i % 8), i, (i + 0.5) / 240, 1) for i in range(240)]
+    assert _histogram(spark, [*pooled, (4, 1, 0.3, 1)]) == {3 + band * k: 0.0 for k in range(8)} | {4: secret_scan.FEW_P}
+
+
+def test_a_copied_secret_is_found_with_all_its_copies(spark):
+    rng = np.random.default_rng(5)
+    random = ["".join(rng.choice(list("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"), 40)) for _ in range(100)]
+    p = {r.i: r.p for r in spark.createDataFrame(list(enumerate(random)), "i int, t string").select("i", F.explode(secret_scan.candidates(F.col("t"))).alias("c")).select("i", "c.p").collect()}
+    copied = random[next(i for i in p if 0.35 < p[i] < 0.45)]
+    df = spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(random + [copied] * 1000)], "doc_id long, text string")
+    hit = {r.doc_id for r in secret_scan.secret_scan(df).collect() if any(s.kind == 3 for s in r.spans)}
+    assert hit >= set(range(100, 1100)) and len(hit & set(range(100))) >= 85
+
+
 def test_prefix_sums_over_blocks(spark):
     n = 3 * secret_scan._BLOCK + 7
     r = spark.range(1).select(secret_scan.prefix_sums(F.sequence(F.lit(1).cast("long"), F.lit(n).cast("long"))).alias("s")).first().s
