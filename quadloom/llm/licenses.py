@@ -1,6 +1,7 @@
 """License scan: fixed phrases plus an exact containment join against templates.
 
-A text block is a line, as a set of words. A template is found in a block when
+A text block is a line, as a set of words, or a stretch of words across line
+ends, as long as the template and what may stand between its words. A template is found in a block when
 the block holds at least ``threshold`` of the template's different words. The
 join is exact: template words get a global order by document frequency (rarest
 first, counted over all documents); a block that reaches the threshold must
@@ -85,29 +86,46 @@ def license_scan(docs: DataFrame, threshold: float = THRESHOLD, templates=None,
     spark = docs.sparkSession
     templates = TEMPLATES if templates is None else templates
     sets = [(label, sorted(set(text.split()))) for label, text in templates]
+    spans = [ceil(len(text.split()) / threshold - 1e-9) if threshold > 0 else len(text.split()) for _, text in templates]
     order = token_order(docs, sorted({w for _, s in sets for w in s}), text_col)
     rank = {w: i for i, w in enumerate(order)}
-    index = []  # word, template, label, its words in order, how many are needed, the word's place
+    index = []  # word, template, label, its words in order, how many are needed, the word's place, the length of a stretch
     for t, (label, s) in enumerate(sets):
         s, need = sorted(s, key=rank.get), ceil(threshold * len(s) - 1e-9)
-        index += [(w, t, label, s, need, i) for i, w in enumerate(s[: len(s) - need + 1])]
-    least = min((need for *_, need, _ in index), default=1)
+        index += [(w, t, label, s, need, i, spans[t]) for i, w in enumerate(s[: len(s) - need + 1])]
+    least = min((x[4] for x in index), default=1)
+    reach = max(spans, default=1) - 1
 
     rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col))
     rows = rows.select("doc_id", F.xxhash64("text").alias("text_h"), ascii_lower(F.col("text")).alias("low"))
     # array_intersect keeps the order of its first argument: the global one.
     rare = _literal(sorted({x[0] for x in index}))
     blocks = F.filter(F.transform(lines_of(F.col("low")), lambda x: let(words(x), lambda w: F.when(F.arrays_overlap(w, rare), F.array_intersect(_literal(order), w)))), lambda b: F.size(F.coalesce(b, F.array().cast("array<string>"))) >= least)
+    # A stretch that reaches the threshold holds a rare word too: what lies around each such word is looked at.
+    no_spots = F.array().cast("array<struct<w:string,at:int,near:array<string>>>")
+
+    def spots(w: Column) -> Column:
+        around = lambda i: F.slice(w, F.greatest(i - reach, F.lit(0)) + 1, F.lit(2 * reach + 1))
+        hits = F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.array_contains(rare, F.get(w, i)))
+        near = F.transform(hits, lambda i: F.struct(F.get(w, i).alias("w"), F.least(i, F.lit(reach)).alias("at"), around(i).alias("near")))
+        return F.when(F.arrays_overlap(w, rare), F.array_distinct(F.filter(near, lambda x: F.size(F.array_intersect(_literal(order), x["near"])) >= least))).otherwise(no_spots)
+
+    stretches = F.when(F.contains(F.col("low"), F.lit("\n")), let(words(F.col("low")), spots)).otherwise(no_spots)
     none = F.array().cast("array<struct<word:bigint,label:string>>")
-    rows = cut(rows.select("doc_id", "text_h", F.size(words(F.col("low"))).cast("long").alias("n_words"), F.when(_may_hold(F.col("low")), let(words(F.col("low")), places)).otherwise(none).alias("base"), blocks.alias("blocks")), "blocks")
+    rows = cut(rows.select("doc_id", "text_h", F.size(words(F.col("low"))).cast("long").alias("n_words"), F.when(_may_hold(F.col("low")), let(words(F.col("low")), places)).otherwise(none).alias("base"), blocks.alias("blocks"), stretches.alias("spots")), "blocks")
 
-    table = spark.createDataFrame(index, "w string, t int, label string, tokens array<string>, need int, at int")
+    table = spark.createDataFrame(index, "w string, t int, label string, tokens array<string>, need int, at int, span int")
     block = rows.select("doc_id", "text_h", F.explode(F.array_distinct("blocks")).alias("block"))
     pair = block.select("doc_id", "text_h", "block", F.posexplode("block").alias("pos", "w")).join(F.broadcast(table), "w")
     pair = pair.where((F.size("block") >= F.col("need")) & (F.size("block") - F.col("pos") >= F.col("need") - F.col("at")) & (F.size("tokens") - F.col("at") >= F.col("need") - F.col("at")))
     shared = F.size(F.array_intersect("block", "tokens"))
     found = pair.where(shared >= F.col("need")).select("doc_id", "text_h", "label", (shared / F.size("tokens")).alias("score"))
-    best = found.groupBy("doc_id", "text_h", "label").agg(F.max("score").alias("score"))
+    spot = rows.select("doc_id", "text_h", F.explode("spots").alias("spot")).select("doc_id", "text_h", F.col("spot.w").alias("w"), F.col("spot.at").alias("here"), F.col("spot.near").alias("near"))
+    spot = spot.join(F.broadcast(table), "w").where(F.size(F.array_intersect("near", "tokens")) >= F.col("need"))
+    starts = F.sequence(F.greatest(F.col("here") - F.col("span") + 1, F.lit(0)), F.col("here"))
+    spot = spot.withColumn("n", F.array_max(F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("near", i + 1, F.col("span")), F.col("tokens"))))))
+    across = spot.where(F.col("n") >= F.col("need")).select("doc_id", "text_h", "label", (F.col("n") / F.size("tokens")).alias("score"))
+    best = found.union(across).groupBy("doc_id", "text_h", "label").agg(F.max("score").alias("score"))
     listed = best.groupBy("doc_id", "text_h").agg(F.array_sort(F.collect_list(F.struct("label", "score"))).alias("found"))
     listed = listed.select(F.col("doc_id").alias("f_id"), F.col("text_h").alias("f_h"), "found")
     out = rows.join(listed, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("text_h") == F.col("f_h")), "left")

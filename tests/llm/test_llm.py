@@ -446,6 +446,17 @@ def test_license_labels_and_order(spark):
     assert [b.word for b in got[6].base] == [0, 7] and "cc-by-sa" in {f.label for f in got[6].found}
 
 
+def test_wrapped_notices_are_found(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files (the \"Software\"), to deal"
+    bsd = "Intro words here\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided"
+    mpl = "// This Source Code Form is subject to the terms of the Mozilla\n// Public License, v. 2.0. If a copy"
+    gpl = "you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published"
+    far = "permission is hereby granted free of charge\n" + "other text between\n" * 20 + "to any person obtaining a copy of this software and associated documentation files"
+    rows = list(enumerate([mit, bsd, mpl, gpl, far, "\n".join(licenses.TEMPLATES[1][1].split())]))
+    got = {r.doc_id: {f.label: f.score for f in r.found} for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].get(x) for i, x in enumerate(["mit", "bsd", "mpl", "gpl", "mit", "mit"])] == [1.0, 1.0, 1.0, 1.0, None, 1.0]
+
+
 def test_pipeline_stages_take_effect(spark, docs):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     start = spark.read.parquet(f"{SMALL}/documents.parquet")
