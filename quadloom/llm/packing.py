@@ -3,12 +3,13 @@
 Documents become token ids (a cache of words per worker, so that each
 different word meets the tokenizer once), end with ``END`` and are cut into
 pieces only where longer than a sequence. Full pieces are sequences of their
-own. The rest is dealt at random into shards of about ``SHARD`` pieces; in each
-shard best fit decreasing is followed by a local search: one-for-one and
-two-for-one exchanges and moves between underfull sequences, each of which
-increases the sum of squared fills, until sequences empty. A shard leaves about
-one sequence underfull, so shards of thousands of pieces cost next to nothing
-while the work per task stays bounded at any input size.
+own. The rest is dealt at random into shards of about ``SHARD`` pieces. A shard
+starts from its pieces as they come, a new sequence where one doesn't fit, which
+leaves about a quarter of the places free; a local search makes the packing:
+moves, one-for-one and two-for-one exchanges between underfull sequences, each
+of which increases the sum of squared fills, until sequences empty. What the
+shards leave in underfull sequences, about one a shard, meets again in fewer
+shards, so the work per task stays bounded at any input size.
 
 Defined cases: null text is an empty document of one token (the end); rows that
 repeat a document are packed each; a text of any length works; an empty table
@@ -17,9 +18,9 @@ gives an empty result; extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -35,15 +36,22 @@ LENGTH, END, SHARD = 2048, 0, 4096
 CACHED_WORDS, PART_BYTES = 300_000, 2_000_000
 SEPARATOR = "<|endoftext|>"
 MARKS = ".,;:!?"
+# Letters that stay single letters in the tokenizer's normal form (NFC, then lower case): Latin up to U+024F without the dotted capital I, Greek and Cyrillic.
+PLAIN = re.compile("[A-Za-z\u00aa-\u012f\u0131-\u024f\u0370-\u052f]+")
+
+
+def plain(word: str) -> bool:
+    """Whether a word has letters alone that are encoded as they stand, whatever stands beside them."""
+    return word.isalpha() and (word.isascii() or PLAIN.fullmatch(word) is not None)
 
 
 class WordCoder:
     """Ids of texts as little-endian 32-bit bytes; words are cached.
 
     The tokenizer drops white space and case and never joins words across
-    white space, so a text is the concatenation of its words, and a letter
-    followed by one mark is the concatenation of both. Words of letters alone
-    are encoded many to a call and told apart by the ids that end a word; what
+    white space, so a text is the concatenation of its words, and a ``plain``
+    word followed by one mark is the concatenation of both. Plain words are
+    encoded many to a call and told apart by the ids that end a word; what
     remains is kept apart by a special token.
     """
 
@@ -76,23 +84,15 @@ class WordCoder:
     def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
         if not words:
             return {}
-        whole = b"\n".join(words).lower().decode("utf-8", "replace")
-        texts = whole.split("\n")
-        # Letters stay letters under the tokenizer's NFC and lower case, unless the text is not in NFC or holds a dotted capital I.
-        safe = whole.isascii() or (unicodedata.is_normalized("NFC", whole) and "\u0130" not in whole)
+        # Only ASCII loses its case here: a letter's case decides which marks the normal form composes with it.
+        texts = [w.lower().decode("ascii") if w.isascii() else w.decode("utf-8", "replace") for w in words]
         marks, letters, others = self.marks, {}, {}
         bare, mark = [], []
         for t in texts:
             m = ""
-            if not t.isalpha():
-                if t[-1] in marks and t[-2:-1].isalpha():
-                    t, m = t[:-1], t[-1]
-                if not t.isalpha():
-                    others[t] = b""
-                    bare.append(t)
-                    mark.append(m)
-                    continue
-            (letters if safe else others)[t] = b""
+            if not plain(t) and t[-1] in marks and plain(t[:-1]):
+                t, m = t[:-1], t[-1]
+            (letters if m or plain(t) else others)[t] = b""
             bare.append(t)
             mark.append(m)
         if letters:
@@ -164,130 +164,176 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end: int = END, id_
     return rows.mapInArrow(_piece_rows(path, length, end), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
 
-def best_fit(sizes: list[int], length: int) -> list[list[int]]:
-    """Best fit decreasing: lists of item numbers, one a bin."""
-    bins: list[list[int]] = []
-    free: list[list[int]] = [[] for _ in range(length + 1)]
-    mask = 0  # bit f: a bin with f places free exists
-    for i in sorted(range(len(sizes)), key=lambda i: (-sizes[i], i)):
-        n = sizes[i]
-        room = mask >> n
-        if room:
-            f = n + (room & -room).bit_length() - 1
-            b = free[f].pop()
-            if not free[f]:
-                mask &= ~(1 << f)
-        else:
-            f, b = length, len(bins)
+def dealt(sizes: list[int], length: int) -> list[list[int]]:
+    """A first deal without any search: items in their order, a new bin where one doesn't fit."""
+    bins, room = [], 0
+    for i, n in enumerate(sizes):
+        if n > room:
             bins.append([])
-        bins[b].append(i)
-        if f > n:
-            free[f - n].append(b)
-            mask |= 1 << (f - n)
+            room = length
+        bins[-1].append(i)
+        room -= n
     return bins
 
 
-def local_search(sizes: list[int], bins: list[list[int]], length: int, patience: int = 12) -> list[list[int]]:
-    """Empties bins by moves and exchanges that increase the sum of squared fills.
+class LocalSearch:
+    """Moves and exchanges between underfull bins, each of which increases the sum of squared fills.
 
-    The least filled bin gives: each of its items is moved to the bin it fills
-    best, or exchanged for one smaller item or for two that together are
-    smaller, where that fills the other bin most. Every step moves fill from
-    the giving bin to a fuller one. The search ends when ``patience`` bins in a
-    row could not be emptied (their exchanges are undone).
+    A bin receives an item of another underfull bin and gives none, one or two
+    back; of all such steps the one that leaves it the least room is taken, and
+    it must end up fuller than the other one was. Bins receive in the order of
+    their largest items: those that few items fit have the first choice, and
+    bins whose items all went elsewhere are empty. Rounds end when no bin has a
+    step left, or when no fewer bins could hold the items.
+
+    ``at[v]`` lists the items of size ``v`` in underfull bins; entries that no
+    longer hold are dropped when met.
     """
-    fill = [sum(sizes[i] for i in b) for b in bins]
-    bound = -(-sum(sizes) // length)
-    tried, alive = 0, sum(map(bool, bins))
-    order = sorted(range(len(bins)), key=lambda b: (fill[b], b))
-    for giver in order:
-        if tried >= patience or alive <= bound:
-            break
-        if not bins[giver] or fill[giver] == length:
-            continue
-        open_ = [b for b in range(len(bins)) if bins[b] and b != giver and fill[b] < length and fill[b] >= fill[giver]]
-        saved = {giver: (list(bins[giver]), fill[giver])}
-        stuck = False
-        for _ in range(64 + 8 * len(bins[giver])):
-            if not bins[giver]:
-                break
-            stuck = True
-            for x in sorted(bins[giver], key=lambda i: -sizes[i]):
-                step = _best_step(sizes, bins, fill, open_, sizes[x], length)
-                if step is None:
-                    continue
-                b, back = step
-                saved.setdefault(b, (list(bins[b]), fill[b]))
-                delta = sizes[x] - sum(sizes[y] for y in back)
-                bins[giver].remove(x)
-                bins[giver] += back
-                bins[b] = [y for y in bins[b] if y not in back] + [x]
-                fill[giver] -= delta
-                fill[b] += delta
-                stuck = False
-                break
-            if stuck:
+
+    def __init__(self, sizes: list[int], bins: list[list[int]], length: int):
+        self.sizes, self.bins, self.length = sizes, [list(b) for b in bins], length
+        self.fill = [sum(sizes[i] for i in b) for b in bins]
+        self.home = [0] * len(sizes)
+        self.at: list[list[int]] = [[] for _ in range(length + 1)]
+        self.held = 0  # bit v: at[v] has entries
+        self.steps = {"move": 0, "one for one": 0, "one for two": 0}
+        self.emptied = 0
+        for b, items in enumerate(self.bins):
+            for i in items:
+                self.home[i] = b
+                if self.fill[b] < length:
+                    self._list(i)
+
+    def _list(self, i: int) -> None:
+        self.at[self.sizes[i]].append(i)
+        self.held |= 1 << self.sizes[i]
+
+    def _closest(self, most: int, back: int, b: int, worst: int):
+        """``(left, item)``: of the items up to ``most`` the largest that bin ``b`` may have for ``back`` tokens, if it leaves less than ``worst``."""
+        held, fill, home = self.held & ((2 << most) - 1), self.fill, self.home
+        low = max(back, most - worst)
+        while held:
+            x = held.bit_length() - 1
+            if x <= low:
+                return None
+            here = self.at[x]
+            k = len(here) - 1
+            while k >= 0:
+                i = here[k]
+                h = home[i]
+                if fill[h] == self.length:
+                    here[k] = here[-1]
+                    here.pop()
+                elif h != b and fill[b] + x - back > fill[h]:
+                    return most - x, i
+                k -= 1
+            if not here:
+                self.held &= ~(1 << x)
+            held &= ~(1 << x)
+        return None
+
+    def _step(self, b: int):
+        """The best step of bin ``b``: the item it gets and those it gives back."""
+        sizes, items, room = self.sizes, self.bins[b], self.length - self.fill[b]
+        top, best, worst = self.length - 1, None, room
+        found = self._closest(min(room, top), 0, b, worst)
+        if found:
+            (worst, item), best = found, (found[1], [])
+        if worst:
+            for y, i in {sizes[i]: i for i in items}.items():
+                found = self._closest(min(room + y, top), y, b, worst)
+                if found:
+                    (worst, item), best = found, (found[1], [i])
+                    if not worst:
+                        break
+        if worst:
+            pairs = {sizes[i] + sizes[j]: [i, j] for k, i in enumerate(items) for j in items[k + 1 :]}
+            for y, ij in pairs.items():
+                if room + y <= top:
+                    found = self._closest(room + y, y, b, worst)
+                    if found:
+                        (worst, item), best = found, (found[1], ij)
+                        if not worst:
+                            break
+        return best
+
+    def _fill(self, b: int) -> bool:
+        """All steps of one bin; whether there was any."""
+        moved = False
+        while self.fill[b] < self.length:
+            step = self._step(b)
+            if step is None:
                 break
-        if bins[giver]:
-            for b, (items, n) in saved.items():
-                bins[b], fill[b] = items, n
-            tried += 1
-        else:
-            alive -= 1
-            tried = 0
-    return [b for b in bins if b]
-
-
-def _best_step(sizes: list[int], bins: list[list[int]], fill: list[int], open_: list[int], x: int, length: int):
-    """The receiving bin and what comes back for an item of size ``x``: the largest gain of fill."""
-    best, gain = None, 0
-    for b in open_:
-        room = length - fill[b]
-        if room <= gain:
-            continue
-        if x <= room:
-            if x > gain:
-                best, gain = (b, []), x
-            continue
-        items = bins[b]
-        for k, y in enumerate(items):
-            d = x - sizes[y]
-            if gain < d <= room:
-                best, gain = (b, [y]), d
-            if d > room:
-                for z in items[k + 1 :]:
-                    e = d - sizes[z]
-                    if gain < e <= room:
-                        best, gain = (b, [y, z]), e
-    return best
-
-
-def _pack_shard(length: int):
+            i, back = step
+            giver, gain = self.home[i], self.sizes[i] - sum(self.sizes[j] for j in back)
+            self.bins[giver].remove(i)
+            self.bins[giver] += back
+            self.bins[b] = [j for j in self.bins[b] if j not in back] + [i]
+            self.home[i] = b
+            for j in back:
+                self.home[j] = giver
+            self.fill[giver] -= gain
+            self.fill[b] += gain
+            self.steps[("move", "one for one", "one for two")[len(back)]] += 1
+            self.emptied += not self.bins[giver]
+            moved = True
+        return moved
+
+    def run(self) -> list[list[int]]:
+        fewest = -(-sum(self.fill) // self.length)
+        alive, moved = sum(map(bool, self.bins)), True
+        while moved and alive - self.emptied > fewest:
+            moved = False
+            for b in sorted((b for b, n in enumerate(self.fill) if 0 < n < self.length), key=lambda b: (-max(self.sizes[i] for i in self.bins[b]), b)):
+                if alive - self.emptied <= fewest:
+                    break
+                if self.bins[b]:
+                    moved |= self._fill(b)
+        return [b for b in self.bins if b]
+
+
+def _pack_shard(length: int, number: int):
     def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["length", "ids_crc32", "doc_id", "piece"], kind="stable").sample(frac=1, random_state=7).reset_index(drop=True)
         sizes = rows["length"].tolist()
-        bins = local_search(sizes, best_fit(sizes, length), length)
-        seq, offset = np.zeros(len(sizes), dtype="int64"), np.zeros(len(sizes), dtype="int64")
-        first = int(rows["shard"].iloc[0]) << 32
+        bins = LocalSearch(sizes, dealt(sizes, length), length).run()
+        seq, offset, fill = (np.zeros(len(sizes), dtype="int64") for _ in range(3))
+        first = number << 56 | int(rows["shard"].iloc[0]) << 24
         for k, b in enumerate(bins):
             at = 0
             for i in b:
                 seq[i], offset[i] = first + k, at
                 at += sizes[i]
-        return rows.drop(columns="shard").assign(sequence_id=seq, offset=offset)
+            fill[b] = at
+        return rows.drop(columns="shard").assign(sequence_id=seq, offset=offset, fill=fill)
 
     return pack
 
 
 def pack(rows: DataFrame, length: int = LENGTH, shard: int = SHARD) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to a table of pieces that can be read again."""
+    """Adds ``sequence_id`` and ``offset`` to a table of pieces that can be read again.
+
+    What shards leave in underfull sequences meets again, in fewer shards, until
+    one shard holds it all.
+    """
     full = rows.where(F.col("length") == length).withColumns({"sequence_id": -F.monotonically_increasing_id() - 1, "offset": F.lit(0).cast("long")})
-    part = rows.where(F.col("length") < length)
-    n = max(1, -(-part.count() // shard))
-    # Dealt by place in the table, not by id: rows that repeat an id spread like any others.
-    dealt = part.withColumn("shard", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int"))
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", sequence_id long, offset long"
-    return full.unionByName(dealt.groupBy("shard").applyInPandas(_pack_shard(length), schema))
+    part, done, number, names = rows.where(F.col("length") < length), full, 0, rows.columns
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", sequence_id long, offset long, fill long"
+    left = part.count()
+    while True:
+        n = max(1, -(-left // shard))
+        # Dealt by place in the table, not by id: rows that repeat an id spread like any others.
+        given = part.withColumn("shard", F.pmod(F.xxhash64(F.lit(number), F.monotonically_increasing_id()), F.lit(n)).cast("int"))
+        packed = given.groupBy("shard").applyInPandas(_pack_shard(length, number), schema)
+        if n == 1:
+            return done.unionByName(packed.drop("fill"))
+        packed, before = cut(packed, "packed"), left
+        part = packed.where(F.col("fill") < length).select(*names)
+        left = part.count()
+        if left > before // 2:  # sizes that fill no sequence: another round would change little
+            return done.unionByName(packed.drop("fill"))
+        done = done.unionByName(packed.where(F.col("fill") == length).drop("fill"))
+        number += 1
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, length: int = LENGTH, end: int = END, shard: int = SHARD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

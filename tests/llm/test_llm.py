@@ -210,18 +210,58 @@ def test_packing_of_odd_words(spark):
     check_packing(packing.pack_documents(df).collect(), texts)
 
 
-def test_local_search_empties_bins():
-    sizes = [6, 6, 4, 4, 5, 5]  # two sixes with fours, and the fives: three full bins
-    bins = packing.local_search(sizes, [[0], [1], [2, 3], [4], [5]], 10)
-    assert len(bins) == 3 and sorted(i for b in bins for i in b) == list(range(6))
+def best_fit_decreasing(sizes, length):
+    rooms = []
+    for n in sorted(sizes, reverse=True):
+        fits = [r for r in rooms if r >= n]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else length) - n)
+    return len(rooms)
+
+
+def test_local_search_makes_the_packing():
+    search = packing.LocalSearch([6, 4, 6, 4, 5, 5], [[0], [1], [2], [3], [4], [5]], 10)
+    assert len(search.run()) == 3 and search.emptied == 3
+    # One for one and one for two are needed: no move fits anywhere.
+    search = packing.LocalSearch([7, 2, 6, 3, 1], [[0, 1], [2, 3], [4]], 10)
+    assert len(search.run()) == 2 and search.steps["move"] > 0
     rng = np.random.default_rng(0)
-    for _ in range(20):
-        sizes = rng.integers(1, 60, 80).tolist()
-        start = [[i] for i in range(80)]
-        out = packing.local_search(sizes, start, 100)
-        assert sorted(i for b in out for i in b) == list(range(80)) and all(sum(sizes[i] for i in b) <= 100 for b in out)
-        assert len(out) < 80
-        assert len(packing.best_fit(sizes, 100)) <= math.ceil(sum(sizes) / 100 * 1.2) + 1
+    kinds = collections.Counter()
+    for low, high in [(1, 2048), (1, 40), (500, 1100), (600, 800)]:
+        sizes = rng.integers(low, high, 600).tolist()
+        start = packing.dealt(sizes, 2048)
+        search = packing.LocalSearch(sizes, start, 2048)
+        squares = sum(n * n for n in search.fill)
+        out = search.run()
+        kinds.update(search.steps)
+        assert sorted(i for b in out for i in b) == list(range(600)) and all(sum(sizes[i] for i in b) <= 2048 for b in out)
+        assert (sum(n * n for n in search.fill) > squares) == (sum(search.steps.values()) > 0) and len(start) - search.emptied == len(out) <= best_fit_decreasing(sizes, 2048)
+    assert kinds["move"] and kinds["one for one"]
+
+
+def test_word_ids_equal_the_tokenizer():
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, coder, draw = Tokenizer.from_file(path), packing.WordCoder(path), random.Random(3)
+    fixed = ["GELD\u0130.", "GELD\u0130, G\u0130TT\u0130", "\u092c\u093e\u0915\u093c.", "\u0915\u093c, \u091c\u093c.", "\u05d9\u05b4.", "H\u0331. T\u0308; W\u030a", "\u00df. \u03a3.", "a\u0085b\u001c."]
+    # Letters of many scripts, marks that compose with them, white space of all kinds, punctuation, tokens.
+    pools = ["abcXYZ", "\u00e9\u00c9\u00df\u0130\u0131\u03a3\u03c3\u03c2\u0153", "\u0915\u093c\u092c\u093e\u0958\u095f\u094d", "\u05d9\u05b4\ufb1d\u05d0", "\u0331\u0301\u0307\u0308\u030a\u030c\u0345", "HTWYJhtwyjIiK\u212b", "12\u00b2\u0663"]
+    pools += ["\u4e2d\u6587\u30ab\u309b\uac01\u1100\u1161", "\u0149\u01f0\u0390\u03b0\u1e96\ufb01", "\U0001f600\u200d\u00ad\x01", ["'s", "'ll", "<|endoftext|>", "n't", "'S"], "\u0401\u0451\u0419\u0439", "\u0386\u037a\u0374\u0384", "\u0139\u0140"]
+    always = [" \t\n\r\x0b\x0c\u00a0\u2028\u3000", ".,;:!?\u2026'-<|>"]
+    texts = fixed + ["".join(draw.choice(draw.choice(pool)) for _ in range(draw.randint(1, 14))) for pool in (draw.sample(pools, draw.randint(1, 4)) + always for _ in range(20_000))]
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in texts])]
+    assert got == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_shards_share_their_last_sequences(spark, docs):
+    texts = {i: t for i, t, _ in docs}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    assert check_packing(packing.pack_documents(df, shard=16).collect(), texts) <= check_packing(packing.pack_documents(df).collect(), texts) + 1
 
 
 def test_targets_reshare_what_is_capped():
