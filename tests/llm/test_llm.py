@@ -508,11 +508,49 @@ def test_wrapped_notices_are_found(spark):
     mpl = "// This Source Code Form is subject to the terms of the Mozilla\n// Public License, v. 2.0. If a copy"
     gpl = "you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published"
     far = "permission is hereby granted free of charge\n" + "other text between\n" * 20 + "to any person obtaining a copy of this software and associated documentation files"
-    rows = list(enumerate([mit, bsd, mpl, gpl, far, "\n".join(licenses.TEMPLATES[1][1].split())]))
+    rows = list(enumerate([mit, bsd, mpl, gpl, far, "\n".join(licenses.TEMPLATES[2][2].split())]))
     got = {r.doc_id: {f.label: f.score for f in r.found} for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert [got[i].get(x) for i, x in enumerate(["mit", "bsd", "mpl", "gpl", "mit", "mit"])] == [1.0, 1.0, 1.0, 1.0, None, 1.0]
 
 
+def license_labels(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return [{f.label for f in r.found} | {b.label for b in r.base} for r in licenses.license_scan(df).orderBy("doc_id").collect()]
+
+
+def test_short_notices_need_their_distinguishing_words(spark):
+    texts = ["Released under the Apache license", "Licensed under CC BY-NC 4.0.", "CC BY 4.0", "Released under the MIT License.", "the license under which it is released " * 50, "mit", "/* Licensed under the\n * Apache License, Version 2.0 */", "GNU Lesser General Public License"]
+    assert license_labels(spark, texts) == [{"apache"}, {"cc-by", "cc-by-nc"}, {"cc-by"}, {"mit"}, set(), set(), {"apache"}, {"gpl"}]
+
+
+def test_whole_license_texts_are_found(spark):
+    long_ = [t for t in licenses.TEMPLATES if len(t[2].split()) > 60]
+    rng = np.random.default_rng(4)
+    texts = []
+    for _, _, text in long_:
+        words = text.split()
+        changed = [w if rng.random() > 0.08 else f"x{k}" for k, w in enumerate(words)]  # edited here and there
+        texts.append("Some words before.\n\n" + "\n".join(" * " + " ".join(changed[i : i + 9]) for i in range(0, len(words), 9)) + "\nand after")
+    assert all(t[0] in got for t, got in zip(long_, license_labels(spark, texts)))
+
+
+def test_license_join_equals_brute_force(spark):
+    rng = np.random.default_rng(6)
+    templates = [("a", "k1", "k1 k2 k3 k4 k5"), ("b", "k6 k2", "k6 k2 k2 k7 k1 k8 k9 k3"), ("c", "k4", "k4")]
+    texts = [" ".join(f"k{x}" for x in rng.integers(1, 16, rng.integers(0, 40))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for threshold in (0.6, 0.8, 1.0):
+        got = {r.doc_id: sorted((f.label, round(f.score, 9)) for f in r.found) for r in licenses.license_scan(df, threshold, templates).collect()}
+        for i, text in enumerate(texts):
+            w, want = text.split(), []
+            for label, marks, t in templates:
+                tokens, span = set(t.split()), math.ceil(len(t.split()) / threshold - 1e-9)
+                blocks = [set(w[k : k + span]) & tokens for k in range(len(w))]
+                fits = [len(b) / len(tokens) for b in blocks if set(marks.split()) <= b and len(b) >= threshold * len(tokens) - 1e-9]
+                want += [(label, round(max(fits), 9))] if fits else []
+            assert got[i] == sorted(want)
+
+
 def test_pipeline_stages_take_effect(spark, docs):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     start = spark.read.parquet(f"{SMALL}/documents.parquet")
