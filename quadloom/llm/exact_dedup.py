@@ -1,8 +1,9 @@
 """Exact dedup by content-defined chunk recipes.
 
-A text without its white space is cut where its content says so (a vowel,
-consonant, vowel boundary between ``MIN_CHUNK`` and ``MAX_CHUNK`` characters),
-so equal texts have equal chunks. Chunks are deduplicated to verified
+A text without its white space is cut where its content says so: the low digits
+of ``GEAR`` characters in a row, whatever the script, decide on a boundary between
+``MIN_CHUNK`` and ``MAX_CHUNK`` bytes, so equal texts have equal chunks and a
+long stretch that texts share has chunks of its own. Chunks are deduplicated to verified
 identifiers: a 64-bit hash plus the rank of the SHA-256 among the digests seen
 under that hash (0 unless two chunks collide). Texts are equal when their
 ordered identifier lists are. Only digests move between tasks, a few dozen
@@ -22,19 +23,22 @@ from pyspark.sql import functions as F
 
 from .common import SPACE_CLASS, cut, prefixed, read, text_of
 
-MIN_CHUNK, MAX_CHUNK = 1024, 8192
-BOUNDARY = r"(?<=[aeiou][bcdfglmnprst][aeiou])"
+MIN_CHUNK, MAX_CHUNK = 512, 16384
+# A boundary: of the last characters, the low hexadecimal digits of their last bytes are all among these; for even digits one place in 4^4.
+GEAR, LOW = 4, "159D"
 
 
 def chunk_pattern(least: int = MIN_CHUNK, most: int = MAX_CHUNK) -> str:
-    return rf"(?s).{{{least},{most}}}?{BOUNDARY}|.{{1,{most}}}"
+    """Chunks of the bytes in hexadecimal: the shortest one from ``least`` bytes on that ends at a boundary."""
+    boundary = f"(?:[C-F].(?:[89AB].){{0,2}})?.[{LOW}]" * GEAR
+    return rf"(?:..){{{least},{most}}}?(?<=[{LOW}])(?<={boundary})|(?:..){{1,{most}}}"
 
 
 def chunked(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = MIN_CHUNK, most: int = MAX_CHUNK) -> DataFrame:
     """``doc_id, text_sha256, n_chars, copies, chunks``: a row per different (id, normalised text, length)."""
     rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col))
     rows = rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.regexp_replace("text", SPACE_CLASS + "+", "").alias("norm"))
-    rows = rows.select("doc_id", "n_chars", F.sha2("norm", 256).alias("text_sha256"), F.regexp_extract_all("norm", F.lit(chunk_pattern(least, most)), 0).alias("parts"))
+    rows = rows.select("doc_id", "n_chars", F.sha2("norm", 256).alias("text_sha256"), F.regexp_extract_all(F.hex(F.encode("norm", "UTF-8")), F.lit(chunk_pattern(least, most)), 0).alias("parts"))
     rows = rows.select("doc_id", "n_chars", "text_sha256", F.transform("parts", lambda c: F.struct(F.xxhash64(c).alias("h"), F.unhex(F.sha2(c, 256)).alias("sha"))).alias("chunks"))
     return rows.groupBy("doc_id", "text_sha256", "n_chars").agg(F.count(F.lit(1)).alias("copies"), F.first("chunks").alias("chunks"))
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, cut, lines_of, prefixed, read, strip, text_of
 
-SALTS = 64
+SALT_ROWS = 1 << 18  # lines to a salt: a key with all lines would be that many a group
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, **more: Column) -> DataFrame:
@@ -40,10 +40,11 @@ def keep_bitmaps(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_f
     # The hashes of all lines, a few dozen bytes each, are made once for the sort's sample, the sort and the join.
     hashed = cut(line.select(
         "doc_id", "text_h", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
-        F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
     ), "lines")
-    # Ranges of (key, salt): a key with a third of all lines spreads over SALTS ranges.
-    ranged = hashed.repartitionByRange("h1", "h2", "salt")
+    # Ranges of (key, salt): a key with a third of all lines spreads over a third of that many ranges.
+    salts = 1 + hashed.count() // SALT_ROWS
+    salted = hashed.withColumn("salt", F.pmod(F.xxhash64(F.lit(2), "doc_id"), F.lit(salts)).cast("int"))
+    ranged = salted.repartitionByRange("h1", "h2", "salt")
     stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "text_h", "pos")
     first = ranged.select("*", ((F.row_number().over(stream) == 1) | ~F.lag("doc_id").over(stream).eqNullSafe(F.col("doc_id"))).alias("opens"))
     part = first.groupBy("h1", "h2", "salt").agg(F.sum(F.col("opens").cast("long")).alias("n"), F.min(F.struct("doc_id", "text_h", "pos")).alias("first"))
@@ -78,14 +79,15 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
 
 
 def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    return apply_bitmaps(docs, keep_bitmaps(docs, min_docs, min_chars, keep_first, id_col, text_col), id_col, text_col)
+    # Written first, the bitmaps have a known size: where they are small they go to the texts, and texts move only beyond that.
+    return apply_bitmaps(docs, cut(keep_bitmaps(docs, min_docs, min_chars, keep_first, id_col, text_col), "bitmaps"), id_col, text_col)
 
 
 def replace_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` with the kept lines as their text; other columns as they were."""
     others = [c for c in docs.columns if c != text_col]
     whole = F.struct(*[F.col(f"`{c}`") for c in others])
-    out = apply_bitmaps(docs, keep_bitmaps(docs, id_col=id_col, text_col=text_col, **options), id_col, text_col, whole)
+    out = apply_bitmaps(docs, cut(keep_bitmaps(docs, id_col=id_col, text_col=text_col, **options), "bitmaps"), id_col, text_col, whole)
     return out.select(*[F.col("kept" if c == text_col else f"carry.`{c}`").alias(c) for c in docs.columns])
 
 

@@ -20,7 +20,9 @@ fingerprints reach the driver.
 Defined cases: null or empty text has fingerprint zero and links like any
 other; fewer words than a shingle: the whole sequence is one; rows that repeat
 an id are returned each; ids of any integer type, null last among a component's
-candidates; an empty table gives an empty result; extra columns are ignored.
+candidates; an empty table gives an empty result; extra columns are ignored (and
+kept by ``near_dedup``, which goes by id and text: rows with one id and texts of
+different groups are kept in each).
 """
 
 from __future__ import annotations
@@ -72,19 +74,19 @@ def _fingerprint_rows(size: int, seed: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = np.zeros(batch.num_rows, dtype="<u8")
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(batch.column(2).to_pylist()):
                 hashes = shingle_hashes(text, size, seed)
                 if hashes:
                     out[i] = majority(np.array(hashes, dtype="<u8"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.view("<i8"))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out.view("<i8"))], names=["doc_id", "text_h", "fp"])
 
     return rows
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp``: a signed 64-bit fingerprint per row."""
-    rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col).cast("binary"))
-    return rows.mapInArrow(_fingerprint_rows(size, seed), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, fp long")
+    """``doc_id, text_h, fp``: a signed 64-bit fingerprint per row, and the text's hash."""
+    rows = prefixed(docs, doc_id=F.col(id_col), text_h=F.xxhash64(text_of(text_col)), text=text_of(text_col).cast("binary"))
+    return rows.mapInArrow(_fingerprint_rows(size, seed), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, text_h long, fp long")
 
 
 def golay_cosets() -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -211,24 +213,28 @@ def linked(anchor: np.ndarray, fp: np.ndarray, threshold: int = THRESHOLD) -> tu
 
 
 def _link_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of sorted anchors; what is held is joined once a group of anchors is complete, however many batches the last one spans."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
 
-    def give(anchor: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        a, b = linked(anchor, fp.view("<u8"))
+    def give() -> pa.RecordBatch:
+        a, b = linked(np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held]).view("<u8"))
         return pa.RecordBatch.from_arrays([pa.array(a.view("<i8")), pa.array(b.view("<i8"))], names=["u", "v"])
 
     for batch in batches:
-        held.append((np.asarray(batch.column(0)), np.asarray(batch.column(1))))
-        if sum(len(a) for a, _ in held) >= CHUNK_ROWS:
-            anchor, fp = (np.concatenate(x) for x in zip(*held))
-            last = int(np.searchsorted(anchor, anchor[-1]))  # the last anchor may go on
-            if last:
-                yield give(anchor[:last], fp[:last])
-            held = [(anchor[last:], fp[last:])]
+        anchor, fp = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        if not len(anchor):
+            continue
+        if size >= CHUNK_ROWS:
+            more = int(np.searchsorted(anchor, held[-1][0][-1], side="right"))  # rows of the last anchor so far
+            if more < len(anchor):
+                held.append((anchor[:more], fp[:more]))
+                yield give()
+                held, size, anchor, fp = [], 0, anchor[more:], fp[more:]
+        held.append((anchor, fp))
+        size += len(anchor)
     if held:
-        anchor, fp = (np.concatenate(x) for x in zip(*held))
-        if len(anchor):
-            yield give(anchor, fp)
+        yield give()
 
 
 def links(points: DataFrame, blocks: int = 2) -> DataFrame:
@@ -262,7 +268,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, blocks: int | None = None, size: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp, component_id``: a row per input row, with the smallest id reachable over links."""
+    """``doc_id, text_h, fp, component_id``: a row per input row, with the smallest id reachable over links."""
     rows = cut(fingerprints(docs, size, seed, id_col, text_col), "fingerprints")
     points = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "points")
     if blocks is None:  # two blocks keep an anchor's group small up to about a hundred million fingerprints
@@ -272,15 +278,29 @@ def simhash_groups(docs: DataFrame, blocks: int | None = None, size: int = SHING
     named = cut(named, "labels")
     lowest = cut(named.groupBy("label").agg(F.min("first").alias("component_id")), "lowest")
     by_fp = cut(named.join(lowest, "label").select("fp", "component_id"), "components")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(by_fp, "fp").select("doc_id", "text_h", "fp", "component_id")
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, all columns as they were, less those whose id is not the smallest of its group."""
+    """The rows of ``docs``, all columns as they were, less all but one of each group.
+
+    Rows are told apart by id and text: the smallest id stays, of several texts
+    with that id the one of the least hash, and of rows that repeat both one.
+    """
     found = simhash_groups(docs, id_col=id_col, text_col=text_col, **options)
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id")).distinct()
-    gone = cut(gone, "gone")
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    texts = found.groupBy("component_id", "doc_id", "text_h").agg(F.count(F.lit(1)).alias("n"))
+    # Null ids come last, as among a component's candidates.
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_h")
+    texts = cut(texts.select("component_id", "n", order.alias("k")), "texts")
+    first = texts.groupBy("component_id").agg(F.min("k").alias("first"))
+    named = texts.join(first, texts["component_id"].eqNullSafe(first["component_id"])).select("n", F.col("k.doc_id").alias("m_id"), F.col("k.text_h").alias("m_h"), (F.col("k") == F.col("first")).alias("stays"))
+    marked = cut(named.where(~F.col("stays") | (F.col("n") > 1)).select("m_id", "m_h", "stays"), "marked")
+    same = F.col(id_col).eqNullSafe(F.col("m_id")) & (F.xxhash64(text_of(text_col)) == F.col("m_h"))
+    once = docs.join(marked, same, "left_anti")
+    # Rows that repeat id and text: one of them, the same one whatever the task order.
+    again = docs.join(marked.where("stays"), same).select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "m_id", "m_h")
+    again = again.groupBy("m_id", "m_h").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
+    return once.unionByName(again)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

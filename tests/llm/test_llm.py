@@ -89,6 +89,15 @@ def test_small_chunks_give_the_same_groups(odd):
     assert a.exceptAll(b).count() == 0 == b.exceptAll(a).count()
 
 
+def test_boundaries_follow_the_content_in_any_script(spark):
+    rng = np.random.default_rng(5)
+    for low, high in [(0x61, 0x7B), (0x41, 0x5B), (0x410, 0x450), (0x4E00, 0x9FA5), (0x3B1, 0x3CA), (0x1F600, 0x1F640)]:
+        shared = "".join(map(chr, rng.integers(low, high, 30_000)))
+        df = spark.createDataFrame([(1, "0" * 700 + shared), (2, "1" * 3333 + shared)], "doc_id long, text string")
+        a, b = ({c.h for c in r.chunks} for r in exact_dedup.chunked(df).orderBy("doc_id").collect())
+        assert len(a & b) > 0.5 * len(a) and 10 < len(a) < 400
+
+
 def base_spans(text):
     found = []
     for m in re.finditer(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
@@ -400,6 +409,28 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)}
 
 
+def test_near_dedup_goes_by_row(spark):
+    a, b = " ".join(f"alpha{i}" for i in range(60)), " ".join(f"beta{i}" for i in range(60))
+    rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (9, a, "x"), (3, a, "x"), (None, b, "x"), (7, None, "x"), (8, "", "x"), (None, "orphan of a kind that no other is", None)]
+    out = simhash.near_dedup(spark.createDataFrame(rows, "doc_id long, text string, fp string"))
+    assert out.columns == ["doc_id", "text", "fp"]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(3, a, "x"), (5, b, "x"), (7, None, "x"), rows[-1]], key=repr)
+
+
+def test_anchor_groups_over_many_batches(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(simhash, "CHUNK_ROWS", 50)
+    rng = np.random.default_rng(3)
+    anchor = np.sort(rng.integers(0, 12, 900))
+    fp = rng.integers(0, 256, 900).astype("<u8")
+    table = [pa.RecordBatch.from_arrays([pa.array(anchor[i : i + 37]), pa.array(fp[i : i + 37].view("<i8"))], names=["anchor", "fp"]) for i in range(0, 900, 37)]
+    got = [b for b in simhash._link_rows(iter(table))]
+    u, v = (np.concatenate([np.asarray(b.column(k)) for b in got]) for k in (0, 1))
+    whole = simhash.spanning(*simhash.linked(anchor, fp))
+    assert set(zip(*simhash.spanning(u.view("<u8"), v.view("<u8")))) == set(zip(*whole))
+
+
 def removed(docs, window=13):
     first, out = {}, {}
     for i, t, *_ in sorted(docs, key=lambda d: d[0]):
