@@ -13,12 +13,15 @@ with one slot a class for words not in training; classes of one word emit it
 surely. Word counts grow with the corpus and stay distributed; the state part
 has a fixed size.
 
-Training covers all training texts: each Baum-Welch step reads the class
-sequences (made once, two bytes a token), every task adds up its expected
-counts over stretches of ``STRETCH`` tokens, and the counts meet as
-``(index, value)`` rows in one aggregation, so the driver gets the model's size
-and never a row per task. Scoring is exact: the scaled forward recursion over
-each whole text.
+Training covers all training texts, whole: each Baum-Welch step reads the class
+sequences (made once, two bytes a token) and every task adds up its expected
+counts. A text is worked on in stretches of ``STRETCH`` tokens side by side; the
+products of a stretch's transitions carry the exact forward and backward
+messages over its borders, so the counts are those of the whole text. The counts
+meet as ``(index, value)`` rows in one aggregation, so the driver gets the
+model's size and never a row per task. Steps end when one lifts the likelihood
+by less than ``GAIN`` (log10 a token), or after ``STEPS``. Scoring is exact: the
+scaled forward recursion over each whole text.
 
 Counts of the ``HEAD`` most frequent words (a fixed number) are broadcast; other
 words meet their counts in a join by 64-bit hash, so no frequent word can make
@@ -44,7 +47,7 @@ from pyspark.sql import functions as F
 from .common import cut, prefixed, read, text_of
 
 FOLDS, HELD_OUT = 7, 2
-STATES, STEPS, STRETCH = 8, 5, 64
+STATES, STEPS, GAIN, STRETCH = 8, 12, 0.002, 64
 OWN, SUFFIXES = 512, 512
 HEAD = 1 << 18
 FLUSH, CACHED = 400_000, 300_000
@@ -81,20 +84,21 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def most_frequent(counts: DataFrame, most: int) -> DataFrame:
-    """All words above the least count that leaves at most ``most`` of them.
+    """About the ``most`` most frequent words: all above a count, and of those about that count a share by hash.
 
     Counts fall into 64 steps a doubling, so the threshold comes from a few
     thousand sums and no task hands over more than its share.
     """
     step = F.floor(F.log2("c") * 64).cast("int")
     sizes = {r["step"]: r["n"] for r in counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    least, total = max(sizes, default=0) + 1, 0
+    least, total, share = max(sizes, default=0) + 1, 0, 0
     for s in sorted(sizes, reverse=True):
-        total += sizes[s]
-        if total > most:
+        if total + sizes[s] > most:
+            share = int((most - total) / sizes[s] * (1 << 16) * 0.95)
             break
+        total += sizes[s]
         least = s
-    return counts.where(step >= least)
+    return counts.where((step >= least) | ((step == max((s for s in sizes if s < least), default=-1)) & (F.pmod("h", F.lit(1 << 16)) < share)))
 
 
 class Lexicon:
@@ -179,24 +183,69 @@ class Model:
         np.fill_diagonal(move, 0.9 if states > 1 else 1.0)
         return Model(np.full(states, 1 / states), move, emit / emit.sum(axis=0))
 
-    def expected(self, stretches: np.ndarray, length: np.ndarray, opening: np.ndarray) -> tuple[np.ndarray, ...]:
-        """Baum-Welch counts of ``stretches`` (padded rows of classes, longest first)."""
+    def products(self, stretches: np.ndarray, length: np.ndarray, opening: np.ndarray) -> np.ndarray:
+        """Per stretch (longest first) the product of its transitions and emissions, scaled: from the state before it to that at its end."""
+        k, n = len(self.start), len(stretches)
+        at, emission, onward = np.ascontiguousarray(stretches.T), np.ascontiguousarray(self.emit.T, dtype="f4"), self.move.T.astype("f4")
+        first = np.where(opening[None, None, :], self.start[:, None, None], self.move.T[:, :, None]).astype("f4")  # to, from, stretch
+        out, p = np.empty((k, k, n), "f4"), first * emission.take(at[0], axis=1)[:, None, :]
+        for t in range(1, int(length.max())):
+            m = int(np.searchsorted(-length, -t, side="left"))
+            if m < p.shape[2]:
+                out[:, :, m : p.shape[2]] = p[:, :, m:]
+                p = np.ascontiguousarray(p[:, :, :m])
+            p = (onward @ p.reshape(k, -1)).reshape(p.shape) * emission.take(at[t, :m], axis=1)[:, None, :]
+            p /= p.sum(axis=(0, 1))
+        out[:, :, : p.shape[2]] = p
+        return out
+
+    def borders(self, stretches: np.ndarray, length: np.ndarray, text: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What enters each stretch from the left (state chances) and from the right (backward messages, up to scale)."""
+        k, n = len(self.start), len(stretches)
+        before, after = np.full((k, n), 1 / k, "f4"), np.ones((k, n), "f4")
+        parts = np.bincount(text)
+        several = np.flatnonzero(parts[text] > 1)
+        if not len(several):
+            return before, after
+        product = self.products(stretches[several], length[several], nth[several] == 0)
+        place = {}  # stretch number within its text: the stretches, by text
+        slot = np.full((len(parts), int(nth.max()) + 1), -1)
+        slot[text[several], nth[several]] = np.arange(len(several))
+        for j in range(1, slot.shape[1]):
+            to = slot[:, j][slot[:, j] >= 0]
+            place[j] = (slot[:, j - 1][slot[:, j] >= 0], to)
+        for j in sorted(place):
+            left, right = place[j]
+            moved = np.einsum("jin,in->jn", product[:, :, left], before[:, several[left]])
+            before[:, several[right]] = moved / moved.sum(axis=0)
+        for j in sorted(place, reverse=True):
+            left, right = place[j]
+            moved = np.einsum("jin,jn->in", product[:, :, right], after[:, several[right]])
+            after[:, several[left]] = moved / moved.sum(axis=0)
+        return before, after
+
+    def expected(self, stretches: np.ndarray, length: np.ndarray, text: np.ndarray, nth: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Baum-Welch counts and log10 likelihood of texts cut into ``stretches`` (padded rows of classes, longest first; ``nth`` of their ``text``)."""
         n, t_max, k = len(stretches), int(length.max()), len(self.start)
+        before, after = self.borders(stretches, length, text, nth)
+        opening = nth == 0
         alive = np.searchsorted(-length, -np.arange(t_max), side="left")  # rows longer than t
         at = np.ascontiguousarray(stretches.T)  # a step's classes side by side
         # States as rows; single precision is ample for counts that are scaled at each step.
         emission, onward = np.ascontiguousarray(self.emit.T, dtype="f4"), self.move.astype("f4")
         alpha, scaled = np.zeros((t_max, k, n), "f4"), np.zeros((t_max, k, n), "f4")  # scaled: emissions over the step's scale
-        a = None
+        a, likelihood = None, 0.0
         for t in range(t_max):
             m = alive[t]
             e = emission.take(at[t, :m], axis=1)
-            a = (self.start[:, None].astype("f4") if t == 0 else onward.T @ a[:, :m]) * e
+            a = (np.where(opening, self.start[:, None].astype("f4"), onward.T @ before) if t == 0 else onward.T @ a[:, :m]) * e
             s = 1 / a.sum(axis=0)
+            likelihood -= float(np.log10(s).sum(dtype="f8"))
             a *= s
             e *= s
             alpha[t, :, :m], scaled[t, :, :m] = a, e
-        beta = np.ones((k, n), "f4")
+        ends = alpha[length - 1, :, np.arange(n)].T
+        beta = after / (ends * after).sum(axis=0)
         move = np.zeros((k, k))
         for t in range(t_max - 1, 0, -1):
             m = alive[t]
@@ -204,11 +253,12 @@ class Model:
             move += alpha[t - 1, :, :m] @ back.T
             alpha[t, :, :m] *= beta[:, :m]  # the chance of each state at t
             beta[:, :m] = onward @ back
+        move += (before * ~opening) @ (scaled[0] * beta).T  # over the borders
         alpha[0] *= beta
         flat = at[:t_max].ravel()
         emit = np.stack([np.bincount(flat, weights=alpha[:, j].ravel(), minlength=len(self.emit)) for j in range(k)], axis=1)
         start = alpha[0][:, opening].sum(axis=1, dtype="f8")
-        return start, move * self.move, emit
+        return start, move * self.move, emit, np.array([likelihood, length.sum()])
 
     @staticmethod
     def reestimated(start: np.ndarray, move: np.ndarray, emit: np.ndarray, frequency: np.ndarray) -> Model:
@@ -235,19 +285,22 @@ class Model:
         return out
 
 
-def _stretches(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    rows, opening = [], []
-    for blob in blobs:
+def _stretches(blobs: list[bytes], most: int | None = None) -> tuple[np.ndarray, ...]:
+    """Rows of classes, their lengths, texts and places in them, longest first."""
+    most = most or STRETCH
+    rows, text, nth = [], [], []
+    for k, blob in enumerate(blobs):
         c = np.frombuffer(blob, dtype="<i2")
-        for i in range(0, len(c), STRETCH):
-            rows.append(c[i : i + STRETCH])
-            opening.append(i == 0)
+        for i in range(0, len(c), most):
+            rows.append(c[i : i + most])
+            text.append(k)
+            nth.append(i // most)
     length = np.array([len(r) for r in rows])
     order = np.argsort(-length, kind="stable")
-    padded = np.zeros((len(rows), STRETCH), dtype="int64")
+    padded = np.zeros((len(rows), most), dtype="int64")
     for k, i in enumerate(order):
         padded[k, : length[i]] = rows[i]
-    return padded, length[order], np.array(opening)[order]
+    return padded, length[order], np.array(text)[order], np.array(nth)[order]
 
 
 def _step_rows(model):
@@ -275,19 +328,23 @@ def _step_rows(model):
     return rows
 
 
-def train(sequences: DataFrame, frequency: np.ndarray, states: int = STATES, steps: int = STEPS) -> Model:
-    """Baum-Welch over all ``sequences.classes``."""
+def train(sequences: DataFrame, frequency: np.ndarray, states: int = STATES, steps: int = STEPS, gain: float = GAIN) -> Model:
+    """Baum-Welch over all ``sequences.classes``, until a step lifts the likelihood by less than ``gain`` a token."""
     sc = sequences.sparkSession.sparkContext
     model = Model.initial(frequency, states)
-    k, c = states, len(frequency)
+    k, c, last = states, len(frequency), -np.inf
     for _ in range(steps):
         given = sc.broadcast((model.start, model.move, model.emit))
         sums = sequences.select("classes").mapInArrow(_step_rows(given), "i int, v double").groupBy("i").agg(F.sum("v").alias("v"))
         got = sums.toPandas()  # at most a row per number of the model
-        total = np.zeros(k + k * k + c * k)
+        total = np.zeros(k + k * k + c * k + 2)
         total[got["i"].to_numpy(dtype="int64")] = got["v"].to_numpy()
-        model = Model.reestimated(total[:k], total[k : k + k * k].reshape(k, k), total[k + k * k :].reshape(c, k), frequency)
+        model = Model.reestimated(total[:k], total[k : k + k * k].reshape(k, k), total[k + k * k : -2].reshape(c, k), frequency)
         given.unpersist()
+        level = total[-2] / max(total[-1], 1)
+        if level - last < gain:
+            break
+        last = level
     return model
 
 
@@ -305,47 +362,51 @@ def _score_rows(model, weight):
     return rows
 
 
+class Fitted:
+    """What is learned from the training rows of ``doc_id, held_out, text``, and the encoded rows."""
+
+    def __init__(self, rows: DataFrame, states: int = STATES, steps: int = STEPS):
+        sc = rows.sparkSession.sparkContext
+        self.counts = counts = cut(word_counts(rows.where(~F.col("held_out"))), "counts")
+        ends = rows.where(~F.col("held_out")).count()
+        by_suffix = counts.groupBy("suffix").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # SUFFIXES rows
+        head = most_frequent(counts, HEAD).toPandas()  # HEAD rows or so, whatever the input
+        self.lexicon = lex = Lexicon(head["h"].to_numpy(dtype="int64"), head["c"].to_numpy(dtype="int64"), ends)
+        self.n_total = int(sum(r["n"] for r in by_suffix) + ends)
+        self.v_total = int(sum(r["v"] for r in by_suffix) + (ends > 0))
+        # Words and different words of each class; those with classes of their own leave their suffix class.
+        words, kinds = np.zeros(lex.classes), np.zeros(lex.classes)
+        for r in by_suffix:
+            words[OWN + r["suffix"]], kinds[OWN + r["suffix"]] = r["n"], r["v"]
+        own_suffix = {int(h): int(s) for h, s in zip(head["h"], head["suffix"]) if int(h) in lex.own}
+        for h, k in lex.own.items():
+            words[k] = lex.own_counts[k]
+            words[OWN + own_suffix[h]] -= words[k]
+            kinds[OWN + own_suffix[h]] -= 1
+        words[-1] = ends
+        self.weight = np.log10(words + kinds + 1)  # P(word|class) = (c + 1) / 10^weight
+        self.texts = cut(encoded(rows, sc.broadcast((lex.h, lex.c, lex.ends))), "encoded")
+        self.model = train(self.texts.where(~F.col("held_out")), (words + 1) / (words + 1).sum(), states, steps)
+
+
 def hmm_scores(docs: DataFrame, held_out=None, states: int = STATES, steps: int = STEPS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``; ``held_out`` a condition on the id."""
-    spark = docs.sparkSession
-    sc = spark.sparkContext
+    sc = docs.sparkSession.sparkContext
     if held_out is None:
         held_out = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % FOLDS == HELD_OUT
     rows = prefixed(docs, doc_id=F.col(id_col), held_out=held_out, text=text_of(text_col).cast("binary"))
-    counts = cut(word_counts(rows.where(~F.col("held_out"))), "counts")
-    ends = rows.where(~F.col("held_out")).count()
-    by_suffix = counts.groupBy("suffix").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()  # SUFFIXES rows
-    head = most_frequent(counts, HEAD).toPandas()  # HEAD rows at most, whatever the input
-    lex = Lexicon(head["h"].to_numpy(dtype="int64"), head["c"].to_numpy(dtype="int64"), ends)
-    n_total = sum(r["n"] for r in by_suffix) + ends
-    v_total = sum(r["v"] for r in by_suffix) + (ends > 0)
-
-    # Words and different words of each class; those with classes of their own leave their suffix class.
-    words, kinds = np.zeros(lex.classes), np.zeros(lex.classes)
-    for r in by_suffix:
-        words[OWN + r["suffix"]], kinds[OWN + r["suffix"]] = r["n"], r["v"]
-    own_suffix = {int(h): int(s) for h, s in zip(head["h"], head["suffix"]) if int(h) in lex.own}
-    for h, k in lex.own.items():
-        words[k] = lex.own_counts[k]
-        words[OWN + own_suffix[h]] -= words[k]
-        kinds[OWN + own_suffix[h]] -= 1
-    words[-1] = ends
-    weight = np.log10(words + kinds + 1)  # P(word|class) = (c + 1) / 10^weight
-    frequency = (words + 1) / (words + 1).sum()
-
-    shared = sc.broadcast((lex.h, lex.c, lex.ends))
-    texts = cut(encoded(rows, shared), "encoded")
-    model = train(texts.where(~F.col("held_out")), frequency, states, steps)
+    fitted = Fitted(rows, states, steps)
+    model, texts = fitted.model, fitted.texts
     small = texts.select("rid", "doc_id", "held_out", "n_tokens", "head_sum", "head_known", "classes")
     kind = texts.schema["doc_id"].dataType.simpleString()
-    scored = small.mapInArrow(_score_rows(sc.broadcast((model.start, model.move, model.emit)), sc.broadcast(weight)), f"rid long, doc_id {kind}, held_out boolean, n_tokens long, head_sum double, head_known long, state_part double")
+    scored = small.mapInArrow(_score_rows(sc.broadcast((model.start, model.move, model.emit)), sc.broadcast(fitted.weight)), f"rid long, doc_id {kind}, held_out boolean, n_tokens long, head_sum double, head_known long, state_part double")
     pair = texts.select("rid", F.explode(F.arrays_zip("tail", "times")).alias("p")).select("rid", F.col("p.tail").alias("h"), F.col("p.times").alias("times"))
-    tail = pair.join(counts.select("h", "c"), "h").groupBy("rid").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("tail_sum"), F.sum("times").alias("tail_known"))
+    tail = pair.join(fitted.counts.select("h", "c"), "h").groupBy("rid").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("tail_sum"), F.sum("times").alias("tail_known"))
     out = scored.join(tail, "rid", "left")
     logs = F.col("head_sum") + F.coalesce("tail_sum", F.lit(0.0))
     return out.select(
-        "doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).cast("long").alias("n_known"), F.lit(int(n_total)).cast("long").alias("train_tokens"),
-        (logs - F.col("n_tokens") * float(np.log10(n_total + v_total + 1))).alias("base_score"), (logs + F.col("state_part")).alias("score"),
+        "doc_id", "held_out", "n_tokens", (F.col("head_known") + F.coalesce("tail_known", F.lit(0))).cast("long").alias("n_known"), F.lit(fitted.n_total).cast("long").alias("train_tokens"),
+        (logs - F.col("n_tokens") * float(np.log10(fitted.n_total + fitted.v_total + 1))).alias("base_score"), (logs + F.col("state_part")).alias("score"),
     )
 
 

@@ -347,13 +347,74 @@ def test_forward_and_baum_welch():
     seqs = [rng.integers(0, 12, n) for n in (1, 9, 4, 30)]
     assert np.allclose(m.log10_likelihood(seqs), [brute_forward(m, s) for s in seqs])
     blobs = [s.astype("<i2").tobytes() for s in seqs]
-    start, move, emit = m.expected(*hmm_lm._stretches(blobs))
+    start, move, emit, level = m.expected(*hmm_lm._stretches(blobs))
     assert np.isclose(start.sum(), 4, rtol=1e-4) and np.isclose(emit.sum(), 44, rtol=1e-4) and np.isclose(move.sum(), 40, rtol=1e-4)
     assert np.allclose(emit.sum(axis=1), np.bincount(np.concatenate(seqs), minlength=12), rtol=1e-4)
+    assert np.allclose(level, [sum(brute_forward(m, s) for s in seqs), 44], rtol=1e-5)
     plain = hmm_lm.Model((start + 1e-9) / (start + 1e-9).sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
     assert plain.log10_likelihood(seqs).sum() > m.log10_likelihood(seqs).sum()
 
 
+def brute_counts(m, seq):
+    """Expected counts of one whole text, forward and backward, without scaling tricks."""
+    k, n = len(m.start), len(seq)
+    alpha, beta = np.zeros((n, k)), np.ones((n, k))
+    alpha[0] = m.start * m.emit[seq[0]]
+    for t in range(1, n):
+        alpha[t] = alpha[t - 1] @ m.move * m.emit[seq[t]]
+    for t in range(n - 2, -1, -1):
+        beta[t] = m.move @ (m.emit[seq[t + 1]] * beta[t + 1])
+    p = alpha[-1].sum()
+    gamma, move, emit = alpha * beta / p, np.zeros((k, k)), np.zeros_like(m.emit)
+    for t in range(n):
+        emit[seq[t]] += gamma[t]
+        if t:
+            move += np.outer(alpha[t - 1], m.emit[seq[t]] * beta[t]) * m.move / p
+    return gamma[0], move, emit
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 64])
+def test_expected_counts_are_those_of_whole_texts(stretch):
+    rng = np.random.default_rng(8)
+    f = rng.random(9)
+    m = hmm_lm.Model.initial(f / f.sum(), 4)
+    m.start = rng.dirichlet(np.ones(4))
+    seqs = [rng.integers(0, 9, n) for n in (1, 3, 7, 64, 65, 100, 12)]
+    got = m.expected(*hmm_lm._stretches([s.astype("<i2").tobytes() for s in seqs], stretch))
+    for x, parts in zip(got, zip(*[brute_counts(m, s) for s in seqs])):
+        assert np.allclose(x, sum(parts), rtol=1e-3, atol=1e-4)
+    assert np.allclose(got[3][0], sum(brute_forward(m, s) for s in seqs), rtol=1e-5)
+
+
+def test_hmm_score_equals_brute_force(spark, docs):
+    import xxhash
+
+    df = spark.createDataFrame([(i, t) for i, t, _ in docs[:120]], "doc_id long, text string")
+    rows = df.select("doc_id", F.lit(False).alias("held_out"), F.col("text").cast("binary").alias("text"))
+    fitted = hmm_lm.Fitted(rows, states=3, steps=2)
+    words = {i: t.encode().lower().split() for i, t, _ in docs[:120]}
+    c = collections.Counter(w for ws in words.values() for w in ws)
+    own = sorted(c, key=lambda w: (-c[w], int.from_bytes(xxhash.xxh64_intdigest(w).to_bytes(8, "big"), "big", signed=True)))[: hmm_lm.OWN]
+    number = {w: k for k, w in enumerate(own)}
+    kind = lambda w: number.get(w, hmm_lm.OWN + hmm_lm.suffix_class(w))
+    size, kinds = collections.Counter(), collections.Counter(kind(w) for w in c if w not in number)  # a word of its own has no unknown beside it
+    for w, n in c.items():
+        size[kind(w)] += n
+    for r in hmm_lm.hmm_scores(df, held_out=F.lit(False), states=3, steps=2).collect():
+        ws = words[r.doc_id]
+        end = fitted.lexicon.classes - 1
+        want = brute_forward(fitted.model, [*map(kind, ws), end]) + sum(math.log10((c[w] + 1) / (size[kind(w)] + kinds[kind(w)] + 1)) for w in ws)
+        want += math.log10((120 + 1) / (120 + 0 + 1))
+        assert abs(r.score - want) < 1e-4 * max(1, abs(want))
+
+
+def test_ties_do_not_empty_the_head(spark, monkeypatch):
+    counts = spark.range(5000).select(F.xxhash64("id").alias("h"), F.lit(1).alias("suffix"), F.when(F.col("id") < 3, 9).otherwise(1).cast("long").alias("c"))
+    got = hmm_lm.most_frequent(counts, 1000).toPandas()
+    assert 700 < len(got) <= 1000 and (got.c == 9).sum() == 3
+    assert hmm_lm.most_frequent(counts, 10_000).count() == 5000 and hmm_lm.most_frequent(counts.limit(0), 10).count() == 0
+
+
 def components(ids, fps, most=2):
     label = {i: i for i in ids}
     change = True
