@@ -5,8 +5,10 @@ a common base rate (in relative entropy, each rate at most ``cap``) are
 ``min(cap, base * exp(lambda_s * size / mean_s))``: one dual variable a source.
 The convex dual is solved by safeguarded Newton steps; each step sums value and
 slope over all documents (as a histogram of sizes, so a source with a third of
-all documents is as many rows as it has different sizes). Sums are decimals and
-the rounding works on integers, so reruns agree whatever the task order.
+all documents is as many rows as it has different sizes). Sources, their targets
+and their dual variables are tables, however many there are; a step that doesn't
+converge raises an error. Sums are decimals and the rounding works on integers,
+so reruns agree whatever the task order.
 
 Rates become whole copies: a document's rate is rounded down, or up if a hash
 of its id falls below its fraction plus a shift. Per source, size classes are
@@ -18,7 +20,7 @@ Defined cases: null text has size 0; null source is a source of its own, last
 in order; documents of size 0 get no copies; sources or tables without words
 get target 0; repeated rows are mixed each; an empty table gives an empty
 result; extra columns are ignored by ``mix`` and kept by ``apply_mix``. The
-driver holds one row per source, never documents.
+driver gets a few sums a step, never sources or documents.
 """
 
 from __future__ import annotations
@@ -33,7 +35,6 @@ from .common import count_words, cut, prefixed, read, text_of
 WEIGHTS, SHARE, CAP = (3, 1, 2), 1.5, 2.0
 UNIT = 1 << 20  # rates are counted in these parts
 BINS = 256
-SMALL = 1 << 16
 
 
 def source_key(c: Column) -> Column:
@@ -41,57 +42,63 @@ def source_key(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
 
 
-def targets(sizes: dict[str | None, int], weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> dict[str | None, float]:
-    """Words wanted of each source: shares by weight, what exceeds ``cap`` times a source goes to the others."""
-    names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
-    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
-    out: dict[str | None, float] = {}
-    left, rest = names, share * sum(sizes.values())
-    while left:
-        total = sum(weight[s] for s in left)
-        over = [s for s in left if rest * weight[s] / total > cap * sizes[s]]
-        if not over:
-            return out | {s: rest * weight[s] / total for s in left}
-        out |= {s: cap * sizes[s] for s in over}
-        rest -= sum(cap * sizes[s] for s in over)
-        left = [s for s in left if s not in over]
-    return out
+def sources(hist: DataFrame, weights=WEIGHTS) -> DataFrame:
+    """``key, source, have, n, weight``: a row per source; weights repeat in the order of sources, null last."""
+    order = F.col("source").asc_nulls_last()
+    total = hist.groupBy("key", "source").agg(F.sum(F.col("n") * F.col("size")).alias("have"), F.coalesce(F.sum(F.when(F.col("size") > 0, F.col("n"))), F.lit(0)).alias("n"))
+    # Ids rise with the sorted ranges: above 2^33 the range, below it the place in it.
+    placed = cut(total.repartitionByRange(order).sortWithinPartitions(order).withColumn("id", F.monotonically_increasing_id()), "sources")
+    ranges = placed.groupBy(F.shiftright("id", 33).alias("range")).count().orderBy("range").collect()  # a row per range
+    before, starts = 0, []
+    for r in ranges:
+        starts += [F.lit(r["range"]), F.lit(before)]
+        before += r["count"]
+    start = F.element_at(F.create_map(*starts), F.shiftright("id", 33)) if starts else F.lit(0)
+    place = F.pmod(start + F.col("id").bitwiseAND((1 << 33) - 1), F.lit(len(weights))).cast("int")
+    return placed.select("key", "source", "have", "n", F.get(F.array(*[F.lit(float(w)) for w in weights]), place).alias("weight"))
+
+
+def targets(table: DataFrame, share: float = SHARE, cap: float = CAP) -> DataFrame:
+    """Adds ``target``, the words wanted of each source: shares by weight, what exceeds ``cap`` times a source goes to the others."""
+    table = cut(table, "weights")
+    level, capped = None, -1
+    while True:
+        # A source over its cap stays there: what it gives up only raises the level of the others.
+        over = F.lit(False) if level is None else F.lit(level) * F.col("weight") > F.lit(cap) * F.col("have")
+        r = table.agg(F.sum("have").alias("all"), F.sum(F.when(over, F.col("have"))).alias("full"), F.sum(F.when(~over, F.col("weight"))).alias("weight"), F.count_if(over).alias("n")).first()
+        if r["n"] == capped or not r["weight"]:
+            break
+        capped, level = r["n"], (share * r["all"] - cap * (r["full"] or 0)) / r["weight"]
+    most = F.lit(cap) * F.col("have")
+    return table.withColumn("target", F.least(most, F.lit(level) * F.col("weight")) if level is not None else most)
 
 
 def _rate(base: Column, dual: Column, mean: Column, cap: Column, size: Column) -> Column:
     return F.least(cap, base * F.exp(F.least(F.lit(700.0), dual * size / mean)))
 
 
-def _lookup(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A row per source; broadcast up to ``SMALL`` sources, so that documents stay where they are, and joined by shuffle beyond."""
-    table = spark.createDataFrame(rows, schema)
-    return F.broadcast(table) if len(rows) <= SMALL else table
-
-
-def solve_dual(hist: DataFrame, want: dict[str, float], have: dict[str, int], docs: dict[str, int], base: float, cap: float, tolerance: float = 1e-7, most: int = 60) -> dict[str, float]:
-    """``lambda`` by source key; a distributed sum over all documents for each Newton step."""
-    spark = hist.sparkSession
-    mean = {s: have[s] / max(docs[s], 1) or 1.0 for s in have}
-    open_ = [s for s in have if 0 < want[s] < cap * have[s] * (1 - 1e-9)]
-    dual = dict.fromkeys(have, 0.0) | {s: 1e6 for s in have if want[s] > 0 and s not in open_} | {s: -1e6 for s in have if want[s] <= 0}
-    low, high = dict.fromkeys(open_, -1e3), dict.fromkeys(open_, 1e3)
+def solve_dual(hist: DataFrame, table: DataFrame, base: float, cap: float, tolerance: float = 1e-7, most: int = 100) -> DataFrame:
+    """Adds ``mean`` and ``dual`` to a table of ``key, have, n, target``; a distributed sum over all documents for each Newton step."""
+    free = (F.col("target") > 0) & (F.col("target") < F.lit(cap * (1 - 1e-9)) * F.col("have"))
+    bound = F.when(F.col("target") > 0, 1e6).otherwise(-1e6)
+    state = table.withColumns({"mean": F.when(F.col("have") > 0, F.col("have") / F.greatest("n", F.lit(1))).otherwise(1.0), "dual": F.when(free, 0.0).otherwise(bound), "low": F.lit(-1e3), "high": F.lit(1e3), "open": free})
     for _ in range(most):
-        if not open_:
-            break
-        now = _lookup(spark, [(s, dual[s], mean[s]) for s in open_], "key string, dual double, mean double")
+        state = cut(state, "dual")
+        if state.where("open").isEmpty():
+            return state.drop("low", "high", "open")
+        now = state.where("open").select("key", "dual", "mean")
         rate = _rate(F.lit(base), F.col("dual"), F.col("mean"), F.lit(cap), F.col("size"))
-        words = F.col("n") * F.col("size") * F.round(rate * UNIT)
+        words = F.col("h.n") * F.col("size") * F.round(rate * UNIT)
         slope = F.when(rate < cap, words * F.col("size") / F.col("mean")).otherwise(0.0)
-        sums = hist.join(now, "key").groupBy("key").agg(F.sum(words.cast("decimal(38,0)")).alias("f"), F.sum(slope.cast("decimal(38,0)")).alias("g")).collect()
-        for r in sums:  # a row per source
-            s, f, g = r["key"], float(r["f"]) / UNIT, float(r["g"] or 0) / UNIT
-            if abs(f - want[s]) <= tolerance * want[s] or high[s] - low[s] < 1e-12:
-                open_.remove(s)
-                continue
-            low[s], high[s] = (dual[s], high[s]) if f < want[s] else (low[s], dual[s])
-            step = dual[s] + (want[s] - f) / g if g > 0 else high[s] + 1
-            dual[s] = step if low[s] < step < high[s] else (low[s] + high[s]) / 2
-    return dual
+        sums = hist.alias("h").join(now, "key").groupBy("key").agg((F.sum(words.cast("decimal(38,0)")).cast("double") / UNIT).alias("f"), (F.sum(slope.cast("decimal(38,0)")).cast("double") / UNIT).alias("g"))
+        short = F.col("f") < F.col("target")
+        state = state.join(sums, "key", "left").withColumn("met", ~F.col("open") | (F.abs(F.col("f") - F.col("target")) <= tolerance * F.col("target")) | (F.col("high") - F.col("low") < 1e-12))
+        state = state.withColumns({"low": F.when(~F.col("met") & short, F.col("dual")).otherwise(F.col("low")), "high": F.when(~F.col("met") & ~short, F.col("dual")).otherwise(F.col("high"))})
+        state = state.withColumn("step", F.when(F.col("g") > 0, F.col("dual") + (F.col("target") - F.col("f")) / F.col("g")))
+        inside = (F.col("step") > F.col("low")) & (F.col("step") < F.col("high"))
+        dual = F.when(F.col("met"), F.col("dual")).when(inside, F.col("step")).otherwise((F.col("low") + F.col("high")) / 2)
+        state = state.withColumns({"dual": dual, "open": ~F.col("met")}).drop("f", "g", "met", "step")
+    raise RuntimeError(f"the dual did not converge in {most} steps")
 
 
 def _edges(rows: pd.DataFrame) -> pd.DataFrame:
@@ -109,19 +116,15 @@ def _edges(rows: pd.DataFrame) -> pd.DataFrame:
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: int = 4, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", carry: Column | None = None) -> DataFrame:
     """``doc_id, size, source_size, target, rate, copies`` and, if given, ``carry``; a row per input row."""
-    spark = docs.sparkSession
     extra = {"carry": carry} if carry is not None else {}
     rows = prefixed(docs, doc_id=F.col(id_col), source=F.col(source_col).cast("string"), size=count_words(text_of(text_col)), **extra)
     rows = rows.withColumn("key", source_key(F.col("source")))
     if carry is None:  # what is carried along may be long: then sizes are counted twice instead
         rows = cut(rows, "sizes")
     hist = cut(rows.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("n")), "histogram")
-    totals = hist.groupBy("key", "source").agg(F.sum(F.col("n") * F.col("size")).alias("size"), F.sum(F.when(F.col("size") > 0, F.col("n"))).alias("n")).collect()  # a row per source
-    have, many, name = {r["key"]: r["size"] for r in totals}, {r["key"]: r["n"] or 0 for r in totals}, {r["source"]: r["key"] for r in totals}
-    want = {name[s]: t for s, t in targets({r["source"]: r["size"] for r in totals}, weights, share, cap).items()}
     base = share
-    dual = solve_dual(hist, want, have, many, base, cap)
-    table = _lookup(spark, [(s, dual[s], have[s] / max(many[s], 1) or 1.0, int(have[s]), float(want[s])) for s in sorted(have)], "key string, dual double, mean double, source_size long, target double")
+    table = solve_dual(hist, targets(sources(hist, weights), share, cap), base, cap)
+    table = table.select("key", "dual", "mean", F.col("have").cast("long").alias("source_size"), "target")
     rated = rows.join(table, "key", "left").withColumn("parts", F.round(_rate(F.lit(base), F.col("dual"), F.col("mean"), F.lit(cap), F.col("size")) * UNIT).cast("long"))
     down = F.col("parts") - F.pmod("parts", F.lit(UNIT))
     rated = rated.withColumns({"down": F.expr(f"parts div {UNIT}"), "frac": F.col("parts") - down, "class": F.when(F.col("size") > 0, F.floor(F.log2("size"))).otherwise(-1).cast("int")})

@@ -273,11 +273,64 @@ def test_shards_share_their_last_sequences(spark, docs):
     assert check_packing(packing.pack_documents(df, shard=64).collect(), texts) <= check_packing(packing.pack_documents(df).collect(), texts) + 2
 
 
-def test_targets_reshare_what_is_capped():
-    t = mixing.targets({"a": 10, "b": 1000, "c": 1000, None: 90})
-    assert t["a"] == 20 and t[None] == 180 and abs(sum(t.values()) - 1.5 * 2100) < 1e-9
-    assert abs(t["b"] * 2 - t["c"]) < 1e-9
-    assert mixing.targets({"z": 1, "é": 1, "Z": 1})["Z"] >= 1 and mixing.targets({}) == {}
+def water_fill(sizes, weights=(3, 1, 2)):
+    """Targets by source, one resharing after the other."""
+    names = sorted(s for s in sizes if s is not None) + [None] * (None in sizes)
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    out, rest = {}, 1.5 * sum(sizes.values())
+    while names:
+        total = sum(weight[s] for s in names)
+        over = [s for s in names if rest * weight[s] / total > 2 * sizes[s]]
+        if not over:
+            return out | {s: rest * weight[s] / total for s in names}
+        out |= {s: 2 * sizes[s] for s in over}
+        rest -= sum(2 * sizes[s] for s in over)
+        names = [s for s in names if s not in over]
+    return out
+
+
+def histogram(spark, sizes):
+    rows = [(None if s is None else s, n, 1) for s, n in sizes.items()]
+    df = spark.createDataFrame(rows, "source string, size long, n long")
+    return df.withColumn("key", mixing.source_key(F.col("source")))
+
+
+def test_targets_reshare_what_is_capped(spark):
+    rng = np.random.default_rng(1)
+    many = {f"host{k}.{c}": int(n) for k, (c, n) in enumerate(zip("aZé漢\U0001f600" * 60, rng.lognormal(6, 3, 300)))}
+    for sizes in ({"a": 10, "b": 1000, "c": 1000, None: 90}, {"a": 0, "b": 0}, many | {None: 7, "": 3}):
+        got = {r.source: r.target for r in mixing.targets(mixing.sources(histogram(spark, sizes).repartition(5))).collect()}
+        want = water_fill(sizes)
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) <= 1e-6 * max(1, want[s]) for s in want)
+    assert mixing.targets(mixing.sources(histogram(spark, {"a": 1}).limit(0))).count() == 0
+
+
+def test_dual_equals_a_reference_solver(spark):
+    """By bisection, and no feasible rates come closer to the base rate than the solved ones."""
+    rng = np.random.default_rng(3)
+    size, want = rng.integers(1, 400, 60), 1.5
+    rows = [("s", int(n), 1) for n in size]
+    hist = cut(spark.createDataFrame(rows, "source string, size long, n long").withColumn("key", mixing.source_key(F.col("source"))).groupBy("key", "source", "size").agg(F.sum("n").alias("n")), "h")
+    total, mean = int(size.sum()), size.mean()
+    for share in (0.4, 1.9):
+        table = mixing.sources(hist).withColumn("target", F.lit(share * total))
+        dual = mixing.solve_dual(hist, table, want, 2.0).first().dual
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if (np.minimum(2, want * np.exp(mid * size / mean)) * size).sum() < share * total else (low, mid)
+        assert abs(dual - low) < 1e-4 * max(1, abs(low))
+        rate = np.minimum(2, want * np.exp(dual * size / mean))
+        entropy = lambda r: (r * np.log(r / want) - r + want).sum()
+        for _ in range(50):
+            i, j = rng.choice(60, 2, replace=False)
+            other, d = rate.copy(), 1e-3 * rng.random()
+            other[i] += d / size[i]
+            other[j] -= d / size[j]
+            if other.max() <= 2:
+                assert entropy(other) >= entropy(rate) - 1e-9
+    with pytest.raises(RuntimeError):
+        mixing.solve_dual(hist, mixing.sources(hist).withColumn("target", F.lit(1.9 * total)), want, 2.0, most=2)
 
 
 def test_mixing_meets_targets_and_reruns_agree(spark, docs):
@@ -288,7 +341,7 @@ def test_mixing_meets_targets_and_reruns_agree(spark, docs):
     for i, n in size.items():
         by[source[i]] += n
         most[source[i]] = max(most[source[i]], n)
-    want, taken = mixing.targets(by), collections.Counter()
+    want, taken = water_fill(by), collections.Counter()
     for r in got:
         assert r.size == size[r.doc_id] and r.source_size == by[source[r.doc_id]] and r.taken <= 2 * r.size and r.taken % max(r.size, 1) == 0
         assert abs(r.target - want[source[r.doc_id]]) < 1e-6
