@@ -7,12 +7,13 @@ id loses its words. Equal word sequences are collapsed first. Then
    the smallest, so equal windows list an equal one (about one in five words);
 2. minimizers of two or more documents are kept, with as many salts as their
    count asks for, and each document cuts out the stretches (a few dozen words)
-   whose windows have such a minimizer;
+   whose windows have such a minimizer, each different one once with its places;
 3. stretches meet by minimizer and salt; windows found in two documents are
    confirmed with their first document, compiled into sharded Aho-Corasick
    automata over word numbers (exact, no hashes), and the shard's stretches are
    streamed through to locate every occurrence in a later document. Salted
-   minimizers confirm across their salts by an aggregation first;
+   minimizers confirm across their salts by an aggregation first, and a phrase
+   goes back to the salts that hold it;
 4. located words are removed.
 
 Shuffled are minimizers and stretches, a fraction of the text, and the texts of
@@ -22,13 +23,14 @@ group it ends in.
 
 Defined cases: null text has no words; fewer words than a window: nothing goes;
 rows that repeat an id don't remove each other's words; a null id counts as the
-smallest; ids are integers; an empty table gives an empty result; extra columns
+smallest; ids that aren't integers are refused; an empty table gives an empty result; extra columns
 are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from array import array
 from collections.abc import Iterator
 
@@ -37,6 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from .common import cut, prefixed, read, text_of
 
@@ -145,20 +148,24 @@ def _stretch_rows(window: int, gram: int):
                 value = minimizers(hashes_of(b" ".join(words)), window, gram)
                 order = np.argsort(mins := np.array(mins, dtype="<i8"))
                 mins, salts = mins[order], np.array(salts)[order]
-                # Runs of windows with one minimizer: a repeated word is one stretch, not one a window.
+                # Runs of windows with one minimizer: a repeated word is one stretch, not one a window,
+                # and a stretch that the text repeats is one row with all its places.
                 edge = runs(value)
                 at = np.minimum(np.searchsorted(mins, value[edge[:-1]]), len(mins) - 1)
+                places: dict[tuple[int, bytes], list[int]] = {}
                 for i in np.flatnonzero(mins[at] == value[edge[:-1]]).tolist():
                     a, b = int(edge[i]), int(edge[i + 1])
-                    k = int(salts[at[i]])
-                    out["h"].append(int(value[a]))
+                    places.setdefault((int(at[i]), b" ".join(words[a : b - 1 + window])), []).append(a)
+                for (i, stretch), pos in places.items():
+                    k = int(salts[i])
+                    out["h"].append(int(mins[i]))
                     out["salts"].append(k)
-                    out["salt"].append(text_h % k)
+                    out["salt"].append(zlib.crc32(stretch, text_h & 0xFFFFFFFF) % k)
                     out["key_id"].append(key)
                     out["text_h"].append(text_h)
-                    out["pos"].append(a)
-                    out["words"].append(b" ".join(words[a : b - 1 + window]))
-            types = {"h": pa.int64(), "salts": pa.int32(), "salt": pa.int32(), "key_id": pa.int64(), "text_h": pa.int64(), "pos": pa.int32(), "words": pa.binary()}
+                    out["pos"].append(pos)
+                    out["words"].append(stretch)
+            types = {"h": pa.int64(), "salts": pa.int32(), "salt": pa.int32(), "key_id": pa.int64(), "text_h": pa.int64(), "pos": pa.list_(pa.int32()), "words": pa.binary()}
             yield pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in types.items()], names=list(types))
 
     return rows
@@ -174,13 +181,13 @@ class Shard:
         self.window, self.number = window, {}
         self.first: dict[bytes, int] = {}
         self.phrases: dict[bytes, int] = {}
-        self.stretches: list[tuple[int, int, int, array]] = []
+        self.stretches: list[tuple[int, int, list[int], array]] = []
 
     def numbers(self, words: bytes) -> array:
         number = self.number
         return array("I", [number.setdefault(w, len(number)) for w in words.split(b" ")])
 
-    def add(self, key: int, text_h: int, pos: int, words: bytes) -> None:
+    def add(self, key: int, text_h: int, pos: list[int], words: bytes) -> None:
         """Stretches of one minimizer come by rising id, so a window's first document comes first."""
         ids = self.numbers(words)
         self.stretches.append((key, text_h, pos, ids))
@@ -202,10 +209,9 @@ class Shard:
             automaton.add_word(tuple(array("I", w)), first)
         automaton.make_automaton()
         for key, text_h, pos, ids in self.stretches:
-            shift = pos - self.window + 1
-            starts = [shift + end for end, first in automaton.iter(tuple(ids)) if first < key]
-            if starts:
-                yield key, text_h, starts
+            found = [end - self.window + 1 for end, first in automaton.iter(tuple(ids)) if first < key]
+            if found:
+                yield key, text_h, [p + k for p in pos for k in found]
 
 
 _HITS = "key_id long, text_h long, starts array<int>"
@@ -234,29 +240,29 @@ def _locate_rows(window: int):
 
 
 def _confirm_rows(window: int):
-    """Different windows of each group of a salted minimizer, with their least and largest ids."""
+    """Different windows of each salt of a minimizer, with their least and largest ids."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def give(h: int) -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays([pa.array([h] * len(seen), pa.int64()), pa.array([salts] * len(seen), pa.int32()), pa.array(list(seen), pa.binary()), pa.array([x[0] for x in seen.values()], pa.int64()), pa.array([x[1] for x in seen.values()], pa.int64())], names=["h", "salts", "phrase", "lo", "hi"])
+        def give(h: int, salt: int) -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array([h] * len(seen), pa.int64()), pa.array([salt] * len(seen), pa.int32()), pa.array(list(seen), pa.binary()), pa.array([x[0] for x in seen.values()], pa.int64()), pa.array([x[1] for x in seen.values()], pa.int64())], names=["h", "salt", "phrase", "lo", "hi"])
             seen.clear()
             return out
 
         seen: dict[bytes, tuple[int, int]] = {}
-        last, salts = None, 1
+        last = None
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(4)]
-            for h, n, key, words in zip(*columns):
-                if last is not None and (h != last or len(seen) >= SALTED_SHARD):
-                    yield give(last)
-                last, salts = h, n
+            for h, salt, key, words in zip(*columns):
+                if last is not None and ((h, salt) != last or len(seen) >= SALTED_SHARD):
+                    yield give(*last)
+                last = h, salt
                 split = words.split()
                 for i in range(len(split) - window + 1):
                     p = b" ".join(split[i : i + window])
                     lo, hi = seen.get(p, (key, key))
                     seen[p] = (min(lo, key), max(hi, key))
         if last is not None:
-            yield give(last)
+            yield give(*last)
 
     return rows
 
@@ -308,19 +314,22 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id
     lists = cut(one.join(shared, "h").groupBy("key_id", "text_h").agg(F.collect_list("h").alias("mins"), F.collect_list("salts").alias("salts")), "lists")
 
     cutting = rows.select("key_id", "text_h", "text").join(lists, ["key_id", "text_h"]).select("key_id", "text_h", "text", "mins", "salts")
-    stretches = cut(cutting.mapInArrow(_stretch_rows(window, gram), "h long, salts int, salt int, key_id long, text_h long, pos int, words binary"), "stretches")
+    stretches = cut(cutting.mapInArrow(_stretch_rows(window, gram), "h long, salts int, salt int, key_id long, text_h long, pos array<int>, words binary"), "stretches")
     whole = stretches.where("salts = 1").select("h", "key_id", "text_h", "pos", "words").repartition("h").sortWithinPartitions("h", "key_id")
     hits = cut(whole.mapInArrow(_locate_rows(window), _HITS), "hits")
     salted = stretches.where("salts > 1")
-    part = salted.select("h", "salt", "salts", "key_id", "words").repartition("h", "salt").sortWithinPartitions("h", "salt").select("h", "salts", "key_id", "words")
-    confirmed = part.mapInArrow(_confirm_rows(window), "h long, salts int, phrase binary, lo long, hi long").groupBy("h", "salts", "phrase").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi")
-    confirmed = cut(confirmed.select("h", "phrase", "lo", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")), "confirmed")
+    part = salted.select("h", "salt", "key_id", "words").repartition("h", "salt").sortWithinPartitions("h", "salt")
+    confirmed = part.mapInArrow(_confirm_rows(window), "h long, salt int, phrase binary, lo long, hi long").groupBy("h", "phrase").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.collect_set("salt").alias("salt")).where("lo < hi")
+    # A phrase goes back to the salts that hold it, so there are no more rows than windows were confirmed from.
+    confirmed = cut(confirmed.select("h", "phrase", "lo", F.explode("salt").alias("salt")), "confirmed")
     more = salted.groupBy("h", "salt").cogroup(confirmed.groupBy("h", "salt")).applyInPandas(_locate_salted(window), _HITS)
     return listed, copies, hits.unionByName(cut(more, "more"))
 
 
 def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256``, a row per input row."""
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be an integer: documents are ordered by it")
     listed, copies, hits = repeated_windows(docs, window, gram, id_col, text_col)
     starts = cut(hits.groupBy("key_id", "text_h").agg(F.flatten(F.collect_list("starts")).alias("starts")), "starts")
     text = text_of(text_col)

@@ -572,6 +572,21 @@ def test_substring_dedup_of_repeats_and_copies(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in phrases.substring_dedup(df).collect()} == want
 
 
+@pytest.mark.parametrize("rows", [4096, 2])
+def test_substring_dedup_of_periodic_texts(spark, monkeypatch, rows):
+    monkeypatch.setattr(phrases, "SALT_ROWS", rows)
+    period = [f"p{i}" for i in range(20)]
+    texts = {i: " ".join((period * 400)[i:] + [f"own{i}x{k}" for k in range(40)] + period) for i in range(6)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in phrases.substring_dedup(df).collect()}
+    assert got == removed(list(texts.items()))
+    listed = df.select("text").first().text.encode()
+    hashes = phrases.minimizers(phrases.WordHashes()(listed))
+    assert len(phrases.runs(hashes)) > 500  # yet a row per different stretch
+    with pytest.raises(TypeError):
+        phrases.substring_dedup(df.withColumn("doc_id", F.col("doc_id").cast("string")))
+
+
 def test_quality_filter_keeps_columns_and_clean_documents(spark, odd):
     clean = " ".join(f"Clean{i} sentence{i} says{i} something{i} else{i}." for i in range(30))
     junk = " ".join(f"BUY{i}!! NOW{i}!!" for i in range(60))
