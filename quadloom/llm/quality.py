@@ -83,28 +83,27 @@ def line_fails(line: Column) -> Column:
     return F.when(has(f"{RUN}|{NAV_MARK}|{LINK}|{TEASER}") | has(BOILERPLATE), let(count_words(line), judged)).otherwise(F.lit(False))
 
 
-def _judged(text: Column) -> list[Column]:
-    """``words``, ``lines`` and per line ``bad``, as columns of a row."""
-    return [words_of(text).alias("words"), lines_of(text).alias("lines"), F.transform(lines_of(text), line_fails).alias("bad")]
+def _lines(text: Column) -> Column:
+    """``array<struct<line, bad>>``, so that each line is judged once."""
+    return F.transform(lines_of(text), lambda x: F.struct(x.alias("line"), line_fails(x).alias("bad")))
 
 
-def _lost() -> Column:
-    return F.aggregate(F.filter("lines", lambda x, i: F.get("bad", i)), F.lit(0).cast("long"), lambda a, x: a + count_words(x))
+def _lost(lines: Column) -> Column:
+    return F.aggregate(F.filter(lines, lambda x: x["bad"]), F.lit(0).cast("long"), lambda a, x: a + count_words(x["line"]))
 
 
-def _cleaned() -> Column:
-    return F.array_join(F.filter("lines", lambda x, i: ~F.get("bad", i)), "\n")
+def _cleaned(lines: Column) -> Column:
+    return F.array_join(F.transform(F.filter(lines, lambda x: ~x["bad"]), lambda x: x["line"]), "\n")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: int = MAX_LOST) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, n_lost_words, cleaned``: the verdicts and the text without failed lines."""
     rows = prefixed(docs, doc_id=F.col(id_col), text=text_of(text_col))
-    rows = rows.select("doc_id", "text", *_judged(F.col("text")))
-    rows = rows.withColumn("full", F.filter("lines", lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))))
+    rows = rows.select("doc_id", "text", words_of(F.col("text")).alias("words"), _lines(F.col("text")).alias("lines"), F.filter(lines_of(F.col("text")), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]"))).alias("full"))
     rows = rows.select(
         "doc_id", F.size("words").cast("long").alias("n_words"), F.length(F.regexp_replace("text", SPACE_CLASS + "+", "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.regexp_replace("text", SYMBOLS, ""))).cast("long").alias("n_symbols"), (F.size("full") - F.size(F.array_distinct("full"))).cast("long").alias("n_dup_lines"),
-        let(F.col("words"), repeat_words).alias("n_repeat_words"), _lost().alias("n_lost_words"), _cleaned().alias("cleaned"),
+        let(F.col("words"), repeat_words).alias("n_repeat_words"), _lost(F.col("lines")).alias("n_lost_words"), _cleaned(F.col("lines")).alias("cleaned"),
     )
     rows = rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT))
     rows = rows.withColumn("kept", ~F.col("base_failed") & (F.col("n_lost_words") * 100 <= F.col("n_words") * max_lost))
@@ -113,12 +112,14 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_l
 
 def quality_filter(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_lost: int = MAX_LOST) -> DataFrame:
     """The rows of ``docs`` that the rules keep, without their failed lines; the other columns as they were."""
-    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col], F.lit(True).alias("_")).alias("row")
     text = text_of(f"`{text_col}`")
-    rows = docs.select(others, *_judged(text))
-    rows = rows.select("row", F.size("words").alias("n"), let(F.col("words"), repeat_words).alias("again"), _lost().alias("lost"), _cleaned().alias("cleaned"))
-    good = (F.col("n") >= MIN_WORDS) & (F.col("again") * 100 <= F.col("n") * MAX_REPEAT) & (F.col("lost") * 100 <= F.col("n") * max_lost)
-    return rows.where(good).select(*[F.col("cleaned" if c == text_col else f"row.`{c}`").alias(c) for c in docs.columns])
+    facts = lambda w, x: F.struct(F.size(w).alias("n"), repeat_words(w).alias("again"), _lost(x).alias("lost"), _cleaned(x).alias("cleaned"))
+    judged = let(words_of(text), lambda w: let(_lines(text), lambda x: facts(w, x)))
+    good = lambda s: (s["n"] >= MIN_WORDS) & (s["again"] * 100 <= s["n"] * MAX_REPEAT) & (s["lost"] * 100 <= s["n"] * max_lost)
+    # An array of one or none: a filter on the facts would be pushed down and make them twice.
+    rows = docs.select(others, F.explode(F.filter(F.array(judged), good)).alias("fact"))
+    return rows.select(*[F.col("fact.cleaned" if c == text_col else f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
