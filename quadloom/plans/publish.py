@@ -7,6 +7,7 @@ import json
 import os
 import re
 import shutil
+import sqlite3
 from dataclasses import dataclass
 from datetime import UTC, datetime
 from pathlib import Path
@@ -36,14 +37,19 @@ class Planned:
 
 def layer_of(meta: dict) -> str | None:
     """A file's layer name, from the first key that is neither missing nor empty."""
-    return next((meta[k] for k in ("layer_slug", "source_layer", "name") if meta.get(k)), None)
+    return next((meta[k] for k in ("wmts_layer", "source_layer", "name") if meta.get(k)), None)
+
+
+def slug(layer: str) -> str:
+    """As ``functions.text.slug``, for one name on the driver."""
+    return layer.lower().replace(" public", "").replace(" ", "").partition("erikois")[0]
 
 
 def named(meta: dict) -> str:
     layer, edition = layer_of(meta), meta.get("source_updated")
     if not layer or not edition:
         raise Unpublishable("a file without layer or edition can't be named")
-    name = f"fi-{re.sub('[^a-z0-9]', '', layer.lower())}-{edition}.mbtiles"
+    name = f"fi-{slug(layer)}-{edition}.mbtiles"
     if not NAME.fullmatch(name):
         raise Unpublishable(f"{name} is not a publishable name")
     return name
@@ -93,31 +99,44 @@ def processing(meta: dict) -> str:
     return "; ".join(steps) or "none"
 
 
-def entry(path: Path, meta: dict) -> dict:
+def entry(path: Path, meta: dict, name: str | None = None) -> dict:
     return {
-        "filename": path.name, "layer": layer_of(meta), "name": meta.get("name"), "bytes": path.stat().st_size, "sha256": digest(path),
+        "filename": name or path.name, "layer": layer_of(meta), "name": meta.get("name"), "bytes": path.stat().st_size, "sha256": digest(path),
         "source_edition": meta.get("source_updated"), "source_edition_oldest": meta.get("source_updated_oldest"), "processing": processing(meta),
     }
 
 
-def retired(folder: Path, planned: list[Planned], keep: set[str] = frozenset()) -> list[Path]:
-    """Older editions of the planned layers; an equal or newer one is never retired."""
-    newest = {p.layer: p.name for p in planned}
-    out = []
+def present(folder: Path) -> dict[Path, dict]:
+    """Metadata of the published files that can be read; others are nobody's to list or retire."""
+    out = {}
     for f in sorted(folder.glob("*.mbtiles")):
-        layer = f.name[: -len("-0000-00-00.mbtiles")]
-        if NAME.fullmatch(f.name) and layer in newest and f.name < newest[layer] and f.name not in keep:
-            out.append(f)
+        if NAME.fullmatch(f.name):
+            try:
+                out[f] = read_metadata(f)
+            except sqlite3.DatabaseError:
+                continue
     return out
 
 
+def retired(folder: Path, planned: list[Planned], keep: set[str] = frozenset()) -> list[Path]:
+    """Older editions of the planned layers by the files' own metadata; an equal or newer one is never retired."""
+    newest = {slug(layer_of(p.metadata)): p.metadata["source_updated"] for p in planned}
+    names = {p.name for p in planned} | set(keep)
+
+    def older(meta: dict) -> bool:
+        layer, edition = layer_of(meta), meta.get("source_updated")
+        return bool(layer and edition) and edition < newest.get(slug(layer), "")
+
+    return [f for f, meta in present(folder).items() if f.name not in names and older(meta)]
+
+
 def publish(sources: list[str | Path], folder: str | Path, pipeline: str = "", keep: set[str] = frozenset()) -> dict:
     """Copies beside, verifies the copies, renames them into place, retires older editions, then writes manifest and index."""
     from .site import index_page
 
     folder = Path(folder)
     planned = plan(sources, folder)
-    staged = []
+    names, staged = {p.name for p in planned}, []
     try:
         for p in planned:
             part = folder / f".{p.name}.partial"
@@ -126,6 +145,11 @@ def publish(sources: list[str | Path], folder: str | Path, pipeline: str = "", k
             check_intact(part)
             if digest(part) != digest(p.source):
                 raise Unpublishable(f"the copy of {p.source} differs")
+        # All that reads files comes before the first rename.
+        doomed = retired(folder, planned, keep)
+        charts = [entry(part, p.metadata, p.name) for p, part in zip(planned, staged)]
+        charts += [entry(f, meta) for f, meta in present(folder).items() if f.name not in names and f not in doomed]
+        manifest = {"schema": SCHEMA, "generated": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), "pipeline": pipeline, "charts": sorted(charts, key=lambda e: e["filename"])}
     except BaseException:
         for part in staged:
             part.unlink(missing_ok=True)
@@ -135,10 +159,8 @@ def publish(sources: list[str | Path], folder: str | Path, pipeline: str = "", k
         for p, part in zip(planned, staged):
             os.replace(part, folder / p.name)
             done.append(p.name)
-        for old in retired(folder, planned, keep):
+        for old in doomed:
             old.unlink()
-        charts = sorted((entry(f, read_metadata(f)) for f in folder.glob("*.mbtiles") if NAME.fullmatch(f.name)), key=lambda e: e["filename"])
-        manifest = {"schema": SCHEMA, "generated": datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ"), "pipeline": pipeline, "charts": charts}
         _replace(folder / "manifest.json", json.dumps(manifest, indent=2, ensure_ascii=False) + "\n")
         _replace(folder / "index.html", index_page(manifest))
     except OSError as e:

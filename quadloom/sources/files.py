@@ -23,7 +23,7 @@ def check_intact(path: str | Path) -> None:
     size = 65536 if size == 1 else size
     changed, pages, valid_for = struct.unpack(">I", head[24:28])[0], struct.unpack(">I", head[28:32])[0], struct.unpack(">I", head[92:96])[0]
     whole = path.stat().st_size
-    if whole % size or (changed == valid_for and pages and pages * size != whole):
+    if whole % size or (changed == valid_for and pages and pages * size > whole):
         raise Damaged(f"{path.name}: {whole} bytes are not {pages} pages of {size}")
     log = path.with_name(path.name + "-wal")
     if log.exists() and log.stat().st_size:

@@ -78,3 +78,23 @@ def test_page_is_escaped():
     chart = {"filename": "a.mbtiles", "layer": "l", "name": "<b>&", "bytes": 1, "sha256": "0", "source_edition": None, "processing": None}
     page = site.index_page({"generated": "now", "charts": [chart]})
     assert "&lt;b&gt;&amp;" in page and "<b>&" not in page
+
+
+def test_files_of_others_stay_and_unreadable_ones_are_passed_over(tmp_path):
+    out = tmp_path / "out"
+    out.mkdir()
+    archive(out / "fi-harbourcharts-2025-01-01.mbtiles", "2025-01-01", "Somebody Else")  # another layer by its metadata
+    archive(out / "fi-variant-2025-02-02.mbtiles", "2025-02-02")  # of the layer, under another name
+    (out / "fi-broken-2025-01-01.mbtiles").write_bytes(b"not a database" * 50)
+    m = publish.publish([archive(tmp_path / "a.mbtiles")], out)
+    assert [c["filename"] for c in m["charts"]] == ["fi-harbourcharts-2025-01-01.mbtiles", "fi-harbourcharts-2026-06-02.mbtiles"]
+    assert sorted(f.name for f in out.glob("*.mbtiles")) == ["fi-broken-2025-01-01.mbtiles", "fi-harbourcharts-2025-01-01.mbtiles", "fi-harbourcharts-2026-06-02.mbtiles"]
+
+
+def test_names_come_from_the_layer_key_and_its_slug(tmp_path):
+    out = tmp_path / "out"
+    out.mkdir()
+    m = publish.publish([archive(tmp_path / "a.mbtiles", layer="ignored", wmts_layer="Coast Charts public")], out)
+    assert [c["filename"] for c in m["charts"]] == ["fi-coastcharts-2026-06-02.mbtiles"]
+    (tmp_path / "b.mbtiles").write_bytes((tmp_path / "a.mbtiles").read_bytes() + b"\0" * 4096)
+    publish.check_intact(tmp_path / "b.mbtiles")  # longer than its header says
