@@ -4,7 +4,14 @@ Each stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
 Parquet and read again as the next one's ``docs``. All but the last return the
 columns of ``documents``. SQL cannot express fingerprints, dual variables or
 token ids, so there is no ``ORACLE_SQL``; the stages are tested against
-brute-force versions.
+brute-force versions of the operators that they call.
+
+Defined cases: a null or empty text has no words and goes in the first stage;
+texts of any length pass whole; rows that repeat id and text are judged each and
+left as one by near_copies, which keeps rows of one id whose texts differ where
+their groups do; ties go to the smallest id, then the least hash of the text;
+an empty table gives an empty result; extra columns are kept by all stages but
+the last, whatever their names.
 """
 
 from __future__ import annotations
