@@ -54,7 +54,7 @@ def parser() -> argparse.ArgumentParser:
         c.add_argument("--zmax", type=int, required=True)
         c.add_argument("--solid", type=int, default=11, help="fill: the last zoom asked for whole")
     c = command("strip", "archive", "out")
-    c.add_argument("--stages", default="black-tiles,black-pixels")
+    c.add_argument("--stages", default="black-tiles,black-pixels,white-tiles")
     c.add_argument("--radius", type=int, default=strip.RADIUS)
     c.add_argument("--white", type=int, default=strip.WHITE)
     c.add_argument("--limit", type=int, default=strip.LIMIT)
@@ -101,7 +101,7 @@ def _crawl(spark, a) -> None:
         for z in range(a.zmin, a.zmax + 1):
             asked(crawl.candidates(None, limits, z))
     elif a.mode == "descent":
-        crawl.descent(crawl.candidates(None, limits, a.zmin), asked, a.zmin, a.zmax)
+        crawl.descent(crawl.candidates(None, limits, a.zmin), asked, a.zmin, a.zmax, limits=limits)
     else:
         crawl.fill(min(a.solid, a.zmax), limits, asked, a.zmin, a.zmax)
     found = answers[0]
@@ -110,8 +110,9 @@ def _crawl(spark, a) -> None:
     found = session.settled(found.dropDuplicates(["z", "x", "y"]))
     tiles = found.where("status = 'ok'").select("z", "x", "y", raster.without_solid(F.col("data")).alias("tile_data")).where("tile_data IS NOT NULL")
     tiles.write.format("mbtiles").option("path", a.archive).mode("append").save()
-    b = grid.leaf_bounds(build.load(spark, a.archive)).select(text.bounds_text(*[F.col(c) for c in ("west", "south", "east", "north")]).alias("b")).first()["b"]
-    z = build.load(spark, a.archive).agg(F.min("z"), F.max("z")).first()
+    keys = build.load(spark, a.archive, keys=True)
+    b = grid.leaf_bounds(keys).select(text.bounds_text(*[F.col(c) for c in ("west", "south", "east", "north")]).alias("b")).first()["b"]
+    z = keys.agg(F.min("z"), F.max("z")).first()
     mbtiles.set_metadata(a.archive, {"source": a.base, "source_layer": a.layer, "bounds": b or "", "minzoom": str(z[0]), "maxzoom": str(z[1])}, {"name": a.layer, "format": "png", "type": "overlay"})
     for r in summary.status_report(found, "ok", "empty", "err").orderBy("z").collect():
         show(r.asDict())
@@ -132,8 +133,8 @@ def main(argv: list[str] | None = None) -> int:
         fetch = service.fetcher(source, service.over_http(), since)
         show(build.refreshed(spark, Path(a.archive), lambda df: service.narrowed(fetch(df)), a.today))
     elif a.command == "strip":
-        tiles = build.load(spark, a.archive)
-        top = tiles.where(F.col("z") == tiles.agg(F.max("z")).first()[0])
+        span = build.load(spark, a.archive, keys=True).agg(F.min("z"), F.max("z")).first()
+        top = build.load(spark, a.archive, zooms=[span[1]])
         if a.scan:
             show(strip.dry_run(top, a.white).first().asDict())
         else:
@@ -141,11 +142,12 @@ def main(argv: list[str] | None = None) -> int:
             out = strip.stripped(top, list(layer.stages), a.radius, a.white, a.limit)
             out.write.format("mbtiles").option("path", a.out).mode("overwrite").save()
             meta = mbtiles.read_metadata(a.archive)
-            mbtiles.set_metadata(a.out, meta | {"nodata_stripped": layer.stamp, "pyramid_pending": meta.get("minzoom", "0")})
+            mbtiles.set_metadata(a.out, meta | {"nodata_stripped": layer.stamp, "minzoom": str(span[1]), "pyramid_pending": meta.get("pyramid_pending") or meta.get("minzoom") or str(span[0])})
     elif a.command == "rebuild":
         tiles, meta = build.load(spark, a.archive), mbtiles.read_metadata(a.archive)
-        source = a.source if a.source is not None else tiles.agg(F.max("z")).first()[0]
-        low = pyramid.floor_zoom(tiles.select("z").distinct(), meta).first()["floor"]
+        zooms = build.load(spark, a.archive, keys=True).select("z").distinct()
+        source = a.source if a.source is not None else zooms.agg(F.max("z")).first()[0]
+        low = pyramid.floor_zoom(zooms, meta).first()["floor"]
         pyramid.rebuilt(tiles, source, low).write.format("mbtiles").option("path", a.out).mode("overwrite").save()
         meta = {k: v for k, v in meta.items() if k != "pyramid_pending"}
         mbtiles.set_metadata(a.out, meta | {"minzoom": str(low), "downscaled": "1", "downscale_source_zoom": str(source), "downscale_filter": "box"})
@@ -153,13 +155,13 @@ def main(argv: list[str] | None = None) -> int:
         levels = session.settled(summary.novelty_levels(raster.novelty_scores(build.load(spark, a.archive))))
         for r in levels.orderBy("z").collect():
             show(r.asDict())
-        lowest = build.load(spark, a.archive).agg(F.min("z")).first()[0]
+        lowest = build.load(spark, a.archive, keys=True).agg(F.min("z")).first()[0]
         show(summary.native_zoom(levels, lowest).first().asDict())
     elif a.command == "inspect":
-        tiles = build.load(spark, a.archive).select("z", "x", "y")
+        tiles = build.load(spark, a.archive, keys=True)
         show({"levels": {r.z: r.n for r in summary.levels(tiles).orderBy("z").collect()}, "centre": summary.centre(tiles).first().asDict(), "bounds": grid.leaf_bounds(tiles).first().asDict(), "metadata": mbtiles.read_metadata(a.archive)})
     elif a.command == "diff":
-        for r in relations.difference_report(build.load(spark, a.archive), build.load(spark, a.other)).orderBy("z").collect():
+        for r in relations.difference_report(build.load(spark, a.archive, keys=True), build.load(spark, a.other, keys=True)).orderBy("z").collect():
             show(r.asDict())
     elif a.command == "preview":
         spots = spark.createDataFrame([("spot", *a.at, a.z)], "name string, lon double, lat double, z int")

@@ -24,8 +24,9 @@ def insert_missing(old: DataFrame, new: DataFrame, on: list[str] = KEYS) -> Data
     return old.unionByName(new.dropDuplicates(on).join(old.select(*on), on, "left_anti").select(*old.columns))
 
 
-def replace(old: DataFrame, new: DataFrame, on: list[str] = KEYS) -> DataFrame:
-    """The last write wins."""
+def replace(old: DataFrame, new: DataFrame, on: list[str] = KEYS, unique: bool = False) -> DataFrame:
+    """The last write wins; of rows that are new twice, any one. ``unique`` says that no key is new twice, which saves a shuffle."""
+    new = new if unique else new.dropDuplicates(on)
     return old.join(new.select(*on), on, "left_anti").select(*old.columns).unionByName(new.select(*old.columns))
 
 

@@ -14,8 +14,9 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text
 from ..functions.text import STAGES
-from ..operators import pyramid, summary
+from ..operators import grid, pyramid
 from ..sources import files, mbtiles
 from . import decide, publish, refresh, strip
 
@@ -88,8 +89,9 @@ def enough_disk(archives: list[Path], work: str | Path) -> None:
         raise Failed(f"{free} bytes are free, {need} are needed")
 
 
-def load(spark: SparkSession, path: str | Path) -> DataFrame:
-    return spark.read.format("mbtiles").option("path", str(path)).load()
+def load(spark: SparkSession, path: str | Path, keys: bool = False, zooms: list[int] | None = None) -> DataFrame:
+    """An archive's tiles, or only their keys; of some zooms, if they are named."""
+    return spark.read.format("mbtiles").options(path=str(path), keysonly=str(keys).lower(), zooms=",".join(map(str, zooms or []))).load()
 
 
 def reason(spark: SparkSession, layer: Layer, meta: dict, deepest: int, current: dict | None, forced: bool) -> str | None:
@@ -106,11 +108,11 @@ def build(spark: SparkSession, archive: Path, layer: Layer, target: Path) -> Non
     """A processed copy of an archive: its deepest zoom stripped, the zooms below rebuilt."""
     meta = mbtiles.read_metadata(archive)
     tiles = load(spark, archive)
-    zooms = tiles.select("z").distinct()
+    zooms = load(spark, archive, keys=True).select("z").distinct()
     deepest = zooms.agg(F.max("z")).first()[0]
     if deepest is None:
         raise Failed(f"{archive.name} holds no tiles")
-    top = tiles.where(F.col("z") == deepest)
+    top = load(spark, archive, zooms=[deepest])
     low = pyramid.floor_zoom(zooms, meta).first()["floor"]
     if layer.stages:
         top = strip.stripped(top, list(layer.stages), layer.radius, layer.white, layer.limit)
@@ -122,20 +124,21 @@ def build(spark: SparkSession, archive: Path, layer: Layer, target: Path) -> Non
     stamps = {"minzoom": str(low), "maxzoom": str(deepest), "downscaled": "1", "downscale_source_zoom": str(deepest), "downscale_filter": "box"}
     if layer.stamp:
         stamps["nodata_stripped"] = layer.stamp
-    mbtiles.set_metadata(target, meta | stamps)
+    if not meta.get("bounds"):
+        b = grid.leaf_bounds(load(spark, target, keys=True)).select(text.bounds_text(*[F.col(c) for c in ("west", "south", "east", "north")]).alias("b"))
+        stamps["bounds"] = b.first()["b"] or ""
+    mbtiles.set_metadata(target, {k: v for k, v in meta.items() if k != "pyramid_pending"} | stamps)
 
 
-def verify(spark: SparkSession, target: Path, layer: Layer, baseline: int) -> None:
-    """Against the number of tiles before the run, so that a mass deletion is noticed."""
+def verify(spark: SparkSession, target: Path, layer: Layer, baseline: int, deepest: int | None = None) -> None:
+    """By the rules of ``decide.findings``, against the number of tiles before the run, so that a mass deletion is noticed."""
     meta = mbtiles.read_metadata(target)
-    n = load(spark, target).where(F.col("z") == int(meta["maxzoom"])).count()
-    if n < baseline * summary.LEAST_KEPT:
-        raise Failed(f"{n} tiles of {baseline} before")
-    missing = [k for k in ("source_layer", "source_updated", "minzoom", "maxzoom") if not meta.get(k)]
-    if missing:
-        raise Failed(f"missing {', '.join(missing)}")
-    if meta.get("nodata_stripped") != layer.stamp:
-        raise Failed("other processing than asked for")
+    deepest = int(meta["maxzoom"]) if deepest is None else deepest
+    n = load(spark, target, keys=True, zooms=[deepest]).count()
+    made = spark.createDataFrame([(layer.name, n, baseline, meta, layer.stamp, deepest)], "layer string, tiles long, baseline long, metadata map<string,string>, stamp string, zoom int")
+    problems = decide.findings(made).first()["problems"]
+    if problems:
+        raise Failed("; ".join(problems))
 
 
 def refreshed(spark: SparkSession, archive: Path, fetch: Callable[[DataFrame], DataFrame], today: str) -> dict:
@@ -144,7 +147,7 @@ def refreshed(spark: SparkSession, archive: Path, fetch: Callable[[DataFrame], D
     tiles = load(spark, archive)
     from ..session import settled
 
-    answers = settled(fetch(tiles.select("z", "x", "y")))
+    answers = settled(fetch(load(spark, archive, keys=True)))
     counts = refresh.report(answers).first().asDict()
     new = settled(refresh.applied(tiles, answers))
     new.write.format("mbtiles").option("path", str(archive)).mode("overwrite").save()
@@ -170,10 +173,10 @@ def run(spark: SparkSession, layers: list[Layer], archives: str | Path, work: st
                 if layer.name not in found:
                     raise Failed("no archive")
                 archive = found[layer.name]
-                deepest = load(spark, archive).agg(F.max("z")).first()[0]
+                deepest = load(spark, archive, keys=True).agg(F.max("z")).first()[0]
                 if deepest is None:
                     raise Failed("an empty archive")
-                baseline = load(spark, archive).where(F.col("z") == deepest).count()
+                baseline = load(spark, archive, keys=True, zooms=[deepest]).count()
                 if fetch is not None and not dry:
                     refreshed(spark, archive, fetch, today)
                 meta = mbtiles.read_metadata(archive)
@@ -188,7 +191,7 @@ def run(spark: SparkSession, layers: list[Layer], archives: str | Path, work: st
                     continue
                 target = Path(work) / f"{prefix}.mbtiles.partial"
                 build(spark, archive, layer, target)
-                verify(spark, target, layer, baseline)
+                verify(spark, target, layer, baseline, deepest)
                 manifest = publish.publish([target], out)
                 target.unlink()
                 done.published.append(f"{layer.name}: {why} ({len(manifest['charts'])} charts)")

@@ -43,14 +43,28 @@ def candidates(frontier: DataFrame | None, limits: DataFrame, z: int, full_until
     return g.children(frontier.where(F.col("z") == z - 1)).distinct().where(inside)
 
 
-def descent(seed: DataFrame, fetch: Fetch, low: int, high: int, done: DataFrame | None = None) -> DataFrame:
-    """Content tiles: every zoom asks for the children of the last one's content; errors don't hold it up."""
+def clipped(tiles: DataFrame, limits: DataFrame | None) -> DataFrame:
+    """Tiles inside the rectangles of their zoom (a few rows per zoom, so they are broadcast); all of them without limits."""
+    if limits is None:
+        return tiles
+    box = F.broadcast(limits.select(F.col("z").alias("_z"), "x0", "x1", "y0", "y1"))
+    return tiles.join(box, (F.col("z") == F.col("_z")) & F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1")), "left_semi")
+
+
+def descent(seed: DataFrame, fetch: Fetch, low: int, high: int, done: DataFrame | None = None, limits: DataFrame | None = None) -> DataFrame:
+    """New content tiles: every zoom asks for the children of the last one's content; errors don't hold it up.
+
+    ``done`` is the content that earlier runs stored: it is not asked for
+    again, but its children are. ``limits`` clip every zoom.
+    """
     found, frontier = None, seed.select(*KEYS)
     for z in range(low, high + 1):
         ask = frontier if z == low else g.children(frontier).distinct()
+        ask = clipped(ask, limits)
         ask = ask if done is None else relations.todo(ask, done)
-        frontier = settled(fetch(ask).where("status = 'ok'").select(*KEYS))
-        found = frontier if found is None else found.unionByName(frontier)
+        content = settled(fetch(ask).where("status = 'ok'").select(*KEYS))
+        found = content if found is None else found.unionByName(content)
+        frontier = content if done is None else settled(content.unionByName(done.where(F.col("z") == z).select(*KEYS)))
         if frontier.isEmpty():
             break
     return found
@@ -64,9 +78,7 @@ def flood(seeds: DataFrame, fetch: Fetch, footprint: DataFrame, footprint_z: int
         content = settled(fetch(frontier).where("status = 'ok'").select(*KEYS))
         found = content if found is None else found.unionByName(content)
         step = grid.neighbours(content, g.AROUND).select("z", F.col("nx").alias("x"), F.col("ny").alias("y")).distinct()
-        step = grid.within_footprint(step, footprint, footprint_z)
-        if limits is not None:
-            step = step.join(limits, (step["z"] == limits["z"]) & step["x"].between(limits["x0"], limits["x1"]) & step["y"].between(limits["y0"], limits["y1"]), "left_semi")
+        step = clipped(grid.within_footprint(step, footprint, footprint_z), limits)
         frontier = settled(relations.todo(step, seen))
         seen = settled(seen.unionByName(frontier))
     return seen.limit(0) if found is None else found
@@ -108,15 +120,16 @@ def complete(answers: DataFrame) -> bool:
     return answers.where("status = 'err'").isEmpty()
 
 
-def masked(seed: DataFrame, fetch: Fetch, low: int, high: int, side: int = 32) -> DataFrame:
+def masked(seed: DataFrame, fetch: Fetch, low: int, high: int, side: int = 32, limits: DataFrame | None = None) -> DataFrame:
     """Content tiles of a crawl that follows alpha masks.
 
     ``fetch`` answers content (with ``data``), placeholder, outside or err.
     Content sets the mask for what lies below, a placeholder hands its own
     down, outside prunes, and a child is asked for if its quarter of the mask
-    is not empty. ``seed`` has ``z, x, y, mask`` (packed bits).
+    is not empty and it lies inside the limits. ``seed`` has ``z, x, y, mask``
+    (packed bits).
     """
-    found, ask = None, seed
+    found, ask = None, clipped(seed, limits)
     for z in range(low, high + 1):
         got = fetch(ask.select(*KEYS)).join(ask, KEYS).where("status IN ('content', 'placeholder')")
         got = got.withColumn("mask", F.when(F.col("status") == "content", r.alpha_mask(F.col("data"), side)).otherwise(F.col("mask")))
@@ -126,7 +139,8 @@ def masked(seed: DataFrame, fetch: Fetch, low: int, high: int, side: int = 32) -
         four = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dy in (0, 1) for dx in (0, 1)])
         child = got.select("z", "x", "y", "mask", F.explode(four).alias("c"))
         child = child.withColumn("mask", r.quadrant_mask(F.col("mask"), F.col("c.dx"), F.col("c.dy"), F.lit(side))).where("mask IS NOT NULL")
-        ask = settled(child.select((F.col("z") + 1).alias("z"), (F.col("x") * 2 + F.col("c.dx")).alias("x"), (F.col("y") * 2 + F.col("c.dy")).alias("y"), "mask"))
+        child = child.select((F.col("z") + 1).alias("z"), (F.col("x") * 2 + F.col("c.dx")).alias("x"), (F.col("y") * 2 + F.col("c.dy")).alias("y"), "mask")
+        ask = settled(clipped(child, limits))
     return found
 
 

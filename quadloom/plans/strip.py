@@ -25,7 +25,7 @@ def _pixel_pass(tiles: DataFrame, faced: DataFrame, kind: str, radius: int, whit
     padded = grid.around_payload(want, masks, "mask")
     subject = tiles.select("z", "x", "y", "tile_data").join(padded, ["x", "y"])
     changed = settled(raster.strip_pixels(subject, kind, radius, white))
-    return relations.replace(tiles, changed.where("tile_data IS NOT NULL").select(*tiles.columns)).join(changed.where("tile_data IS NULL"), ["z", "x", "y"], "left_anti")
+    return relations.replace(tiles, changed.where("tile_data IS NOT NULL").select(*tiles.columns), unique=True).join(changed.where("tile_data IS NULL"), ["z", "x", "y"], "left_anti")
 
 
 def stripped(tiles: DataFrame, stages: list[str], radius: int = RADIUS, white: int = WHITE, limit: int = LIMIT) -> DataFrame:

@@ -62,6 +62,14 @@ def descent(spark, sf_dir):
     return crawl.descent(seed, fetch, b.LOW, b.HIGH)
 
 
+def resumed_descent(spark, sf_dir):
+    """A descent that goes on where an earlier one stopped that stored a part of the upper zooms: it finds the rest."""
+    fetch = crawl.from_table(_answers(spark, sf_dir))
+    seed = b.tiles(spark, sf_dir).where(F.col("z") == b.LOW)
+    done = crawl.descent(seed, fetch, b.LOW, b.COVER).where("(x + y) % 4 = 0")
+    return crawl.descent(seed, fetch, b.LOW, b.HIGH, done)
+
+
 def fill_flood(spark, sf_dir):
     """An 8-connected flood at one zoom from the footprint's centres, within the footprint, from content to content."""
     fetch = crawl.from_table(_answers(spark, sf_dir))
@@ -118,6 +126,14 @@ SELECT round(min(x / (1 << z) * 360 - 180), 7) AS west, round(min(degrees(atan(s
   SELECT t.z, t.x, t.y, (CASE WHEN (t.x * 7 + t.y * 3 + t.z) % 11 = 0 THEN 'err' WHEN (t.x * 5 + t.y + t.z) % 3 = 0 THEN 'empty' ELSE 'ok' END)
   FROM d JOIN t ON t.z = d.z + 1 AND t.x >> 1 = d.x AND t.y >> 1 = d.y WHERE d.status = 'ok'
 ) SELECT z, x, y FROM d WHERE status = 'ok'""",
+    ),
+    "resumed_descent": (
+        resumed_descent,
+        D + f"""s AS (SELECT z, x, y, {b.SQL_STATUS} AS status FROM t), d(z, x, y, status) AS (
+  SELECT z, x, y, status FROM s WHERE z = {b.LOW}
+  UNION
+  SELECT s.z, s.x, s.y, s.status FROM d JOIN s ON s.z = d.z + 1 AND s.x >> 1 = d.x AND s.y >> 1 = d.y WHERE d.status = 'ok'
+) SELECT z, x, y FROM d WHERE status = 'ok' AND NOT (z <= {b.COVER} AND (x + y) % 4 = 0)""",
     ),
     "fill_flood": (
         fill_flood,

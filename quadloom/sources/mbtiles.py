@@ -4,7 +4,10 @@
     spark.read.format("mbtiles").option("path", "/shared/a.mbtiles").load()
     df.write.format("mbtiles").option("path", "/shared/b.mbtiles").mode("overwrite").save()
 
-Rows are ``z, x, y, tile_data`` with y from the north. SQLite needs files that
+Rows are ``z, x, y, tile_data`` with y from the north. ``option("keysonly", "true")``
+leaves out the blobs, which SQLite then doesn't touch, and ``option("zooms", "3,4")``
+reads those zooms only. Filters are not pushed: in Spark 4.1.2 a plan that reads
+one DataFrame of a Python source under two conditions then loses rows. SQLite needs files that
 every task can open, so the path lies on a file system that all executors
 mount. Each write task fills a part file beside the target; the commit merges
 them and renames the result into place, so a failed or repeated task leaves
@@ -22,7 +25,8 @@ from urllib.parse import quote
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
-SCHEMA = "z int, x int, y int, tile_data binary"
+KEYS = "z int, x int, y int"
+SCHEMA = f"{KEYS}, tile_data binary"
 DDL = [
     "CREATE TABLE IF NOT EXISTS tiles (zoom_level INTEGER, tile_column INTEGER, tile_row INTEGER, tile_data BLOB)",
     "CREATE UNIQUE INDEX IF NOT EXISTS tile_index ON tiles (zoom_level, tile_column, tile_row)",
@@ -73,6 +77,7 @@ class _Reader(DataSourceReader):
         self.paths = [p for p in options["path"].split(",") if p]
         self.tiles = int(options.get("tilesperpartition", 4096))
         self.zooms = {int(z) for z in options["zooms"].split(",")} if options.get("zooms") else None
+        self.blobs = options.get("keysonly") != "true"
 
     def partitions(self) -> list[_Range]:
         out = []
@@ -85,11 +90,14 @@ class _Reader(DataSourceReader):
                     out += [_Range(path, z, a, min(a + step - 1, high)) for a in range(low, high + 1, step)]
         return out
 
-    def read(self, partition: _Range) -> Iterator[tuple]:
+    def read(self, partition: _Range | None) -> Iterator[tuple]:
+        if partition is None:  # what Spark makes of no partitions
+            return
         path, z, low, high = partition.value
         with closing(connect(path)) as db:
-            for x, row, blob in db.execute("SELECT tile_column, tile_row, tile_data FROM tiles WHERE zoom_level = ? AND tile_column BETWEEN ? AND ?", (z, low, high)):
-                yield z, x, (1 << z) - 1 - row, blob
+            what = "tile_column, tile_row" + ", tile_data" * self.blobs
+            for x, row, *blob in db.execute(f"SELECT {what} FROM tiles WHERE zoom_level = ? AND tile_column BETWEEN ? AND ?", (z, low, high)):
+                yield z, x, (1 << z) - 1 - row, *blob
 
 
 class _Part(WriterCommitMessage):
@@ -144,7 +152,7 @@ class MBTiles(DataSource):
         return "mbtiles"
 
     def schema(self) -> str:
-        return SCHEMA
+        return KEYS if self.options.get("keysonly") == "true" else SCHEMA
 
     def reader(self, schema) -> _Reader:
         return _Reader(self.options)

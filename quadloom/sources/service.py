@@ -37,15 +37,26 @@ class Source:
         return t.map_url(self.base, F.lit(self.layer), *bbox(z, x, y), F.lit(256), F.lit(256))
 
 
-def limits(capabilities: DataFrame, layer: str, column: str = "xml") -> DataFrame:
-    """``z, x0, x1, y0, y1`` from the TileMatrixLimits of one layer in a capabilities text."""
+def limits(capabilities: DataFrame, layer: str, column: str = "xml", matrix: str | None = None) -> DataFrame:
+    """``z, x0, x1, y0, y1`` from the TileMatrixLimits of one layer in a capabilities text; of one matrix set if it is named."""
     part = F.explode(F.regexp_extract_all(column, F.lit(r"(?s)<Layer>.*?</Layer>"), 0))
     one = capabilities.select(part.alias("layer")).where(F.contains("layer", F.lit(f"<ows:Identifier>{layer}</ows:Identifier>")))
+    if matrix is not None:
+        links = F.explode(F.regexp_extract_all("layer", F.lit(r"(?s)<TileMatrixSetLink>.*?</TileMatrixSetLink>"), 0))
+        one = one.select(links.alias("layer")).where(F.contains("layer", F.lit(f"<TileMatrixSet>{matrix}</TileMatrixSet>")))
     each = one.select(F.explode(F.regexp_extract_all("layer", F.lit(r"(?s)<TileMatrixLimits>.*?</TileMatrixLimits>"), 0)).alias("m"))
     number = lambda tag: F.regexp_extract("m", rf"<{tag}>(\d+)</{tag}>", 1).cast("int")
     return each.select(F.regexp_extract("m", r"<TileMatrix>[^<]*?(\d+)</TileMatrix>", 1).cast("int").alias("z"), number("MinTileCol").alias("x0"), number("MaxTileCol").alias("x1"), number("MinTileRow").alias("y0"), number("MaxTileRow").alias("y1"))
 
 
+def stated_limits(capabilities: DataFrame, source: Source, column: str = "xml") -> DataFrame:
+    """The limits of a source's layer in its matrix set; a service that states none is refused."""
+    out = limits(capabilities, source.layer, column, source.matrix or None)
+    if out.isEmpty():
+        raise LookupError(f"no limits for {source.layer} in {source.matrix or 'any matrix set'}")
+    return out
+
+
 def classify(code: int, body: bytes | None, empty_on_4xx: bool) -> str:
     """ok, blank (a tile without a visible pixel), outside, notmodified or err."""
     if code == 304:

@@ -144,3 +144,29 @@ def test_novelty_of_an_upscale_is_nil():
 
 def test_smooth_doubling_of_a_flat_tile_is_flat():
     assert (raster.doubled(tile(SEA), 0, 1, smooth=True) == SEA).all()
+
+
+@pytest.mark.parametrize("step", [1, 3, 4])
+def test_every_mix_of_line_filters(step):
+    rng = np.random.default_rng(step)
+    h, w = 37, 21
+    px = rng.integers(0, 256, (h, w, step)).astype(int)
+    pad = np.pad(px, ((1, 0), (1, 0), (0, 0)))
+    a, b, c = pad[1:, :-1], pad[:-1, 1:], pad[:-1, :-1]
+    p = a + b - c
+    best = np.array([abs(p - a), abs(p - b), abs(p - c)]).argmin(axis=0)
+    guess = np.array([0 * a, a, b, (a + b) // 2, np.choose(best, [a, b, c])])
+    kinds = rng.integers(0, 5, h)
+    lines = np.concatenate([kinds[:, None], ((px - guess[kinds, np.arange(h)]) % 256).reshape(h, -1)], axis=1).astype(np.uint8)
+    assert (png._unfilter(lines, step) == px.reshape(h, -1)).all()
+
+
+def test_novelty_needs_something_to_see_and_minds_alpha():
+    parent = tile((90, 90, 90, 255))
+    child = tile((0, 0, 0, 0))
+    child[0, 0] = (1, 2, 3, 255)
+    assert raster.novelty(child, parent, 0, 0) is None
+    child[:6] = (1, 2, 3, 255)
+    assert raster.novelty(child, parent, 0, 0) == 1
+    faint = tile((90, 90, 90, 100))
+    assert raster.novelty(faint, parent, 0, 0) == 1 and raster.same_share(faint, parent, 0, 0) == 0

@@ -320,3 +320,43 @@ def test_streamed_extents(spark, tmp_path):
     q = editions.extents(editions.answers(spark, str(tmp_path / "in"))).writeStream.outputMode("complete").format("memory").queryName("extents").trigger(availableNow=True).start()
     q.awaitTermination()
     assert tuple(spark.table("extents").first()) == (8, "2026-06-02", "2026-06-01")
+
+
+def test_a_resumed_descent_goes_below_what_is_stored(spark):
+    answers = spark.createDataFrame([(z, x, 0, "ok") for z in (1, 2, 3) for x in range(1 << z)], "z int, x int, y int, status string")
+    fetch = crawl.from_table(answers)
+    seed, done = answers.where("z = 1 AND x = 0"), answers.where("z = 1 AND x = 0")
+    assert {(r.z, r.x) for r in crawl.descent(seed, fetch, 1, 3, done).collect()} == {(2, 0), (2, 1), (3, 0), (3, 1), (3, 2), (3, 3)}
+    limits = spark.createDataFrame([(z, 0, 1, 0, 0) for z in (1, 2, 3)], "z int, x0 int, x1 int, y0 int, y1 int")
+    assert {(r.z, r.x) for r in crawl.descent(seed, fetch, 1, 3, done, limits).collect()} == {(2, 0), (2, 1), (3, 0), (3, 1)}
+
+
+def test_limits_of_one_matrix_set(spark):
+    row = lambda s, z, n: f"<TileMatrixLimits><TileMatrix>{s}:{z}</TileMatrix><MinTileRow>0</MinTileRow><MaxTileRow>{n}</MaxTileRow><MinTileCol>1</MinTileCol><MaxTileCol>{n}</MaxTileCol></TileMatrixLimits>"
+    link = lambda s, n: f"<TileMatrixSetLink><TileMatrixSet>{s}</TileMatrixSet><TileMatrixSetLimits>{row(s, 5, n)}</TileMatrixSetLimits></TileMatrixSetLink>"
+    caps = spark.createDataFrame([(f"<Layer><ows:Identifier>a</ows:Identifier>{link('M', 7)}{link('Other', 9)}</Layer>",)], "xml string")
+    assert [tuple(r) for r in service.stated_limits(caps, service.Source("wmts", "", "a", "M")).collect()] == [(5, 1, 7, 0, 7)]
+    for layer, matrix in (("b", "M"), ("a", "N")):
+        with pytest.raises(LookupError):
+            service.stated_limits(caps, service.Source("wmts", "", layer, matrix))
+
+
+def test_archives_are_read_pruned(spark, tmp_path):
+    path = str(tmp_path / "p.mbtiles")
+    rows = [(z, x, y, bytearray(b"blob")) for z in (3, 4, 5) for x in range(4) for y in range(3)]
+    spark.dataSource.register(mbtiles.MBTiles)
+    spark.createDataFrame(rows, mbtiles.SCHEMA).write.format("mbtiles").option("path", path).mode("overwrite").save()
+    from quadloom.plans import build
+
+    keys, tiles, one = build.load(spark, path, keys=True), build.load(spark, path), build.load(spark, path, zooms=[4])
+    assert keys.columns == ["z", "x", "y"] and keys.count() == 36 and tiles.rdd.getNumPartitions() == 3
+    assert one.rdd.getNumPartitions() == 1 and {r.z for r in one.collect()} == {4}
+    assert build.load(spark, path, keys=True, zooms=[9]).count() == 0
+    both = tiles.where("z = 3").unionByName(tiles.where("z > 3"))
+    assert both.count() == 36 and tiles.where("z = 3").join(tiles.where("z = 5"), ["x", "y"]).count() == 12
+
+
+def test_replacing_leaves_one_row_a_key(spark):
+    old = spark.createDataFrame([(1, 0, 0, "a"), (1, 0, 1, "b")], "z int, x int, y int, v string")
+    new = spark.createDataFrame([(1, 0, 0, "c"), (1, 0, 0, "c"), (2, 0, 0, "d")], old.schema)
+    assert sorted(tuple(r) for r in relations.replace(old, new).collect()) == [(1, 0, 0, "c"), (1, 0, 1, "b"), (2, 0, 0, "d")]
