@@ -6,8 +6,8 @@
 
 Rows are ``z, x, y, tile_data`` with y from the north. ``option("keysonly", "true")``
 leaves out the blobs, which SQLite then doesn't touch, and ``option("zooms", "3,4")``
-reads those zooms only. Filters are not pushed: in Spark 4.1.2 a plan that reads
-one DataFrame of a Python source under two conditions then loses rows. SQLite needs files that
+reads those zooms only. Filters are not pushed: in Spark 4.1.2 a plan that read
+one DataFrame under two conditions lost rows with it in tests. SQLite needs files that
 every task can open, so the path lies on a file system that all executors
 mount. Each write task fills a part file beside the target; the commit merges
 them and renames the result into place, so a failed or repeated task leaves
