@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import png, raster
-from ..functions.geometry import TILE
 from ..functions.pixels import DARK, OPAQUE, WHITE
 
 SURVEY = "fill long, other long, opaque long"
@@ -101,7 +100,8 @@ def strip_pixels(tiles: DataFrame, kind: str, radius: int, white: int = WHITE) -
             rows = []
             for r in batch.itertuples(index=False):
                 image = png.decode(r.tile_data)
-                pads = {s: np.unpackbits(np.frombuffer(m, np.uint8)).reshape(TILE, TILE).astype(bool) for s, m in dict(r.around or {}).items()}
+                shape = image.shape[:2]
+                pads = {s: np.unpackbits(np.frombuffer(m, np.uint8)).reshape(shape).astype(bool) for s, m in dict(r.around or {}).items()}
                 gone = raster.removal(raster.no_data(image, kind, white), pads, radius, set(r.outward))
                 if gone.any():
                     left = raster.erased(image, gone)

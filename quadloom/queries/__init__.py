@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import floods, geometry, names, rasters, relations, reports
+from . import floods, geometry, kernels, names, rasters, relations, reports
 
-MODULES = [geometry, relations, floods, reports, names, rasters]
+MODULES = [geometry, relations, floods, reports, names, rasters, kernels]
 
 
 def queries() -> dict:
