@@ -23,10 +23,13 @@ from pyspark.sql import functions as F
 
 from . import session
 from .functions import text
+from .functions.geometry import rectangles
 from .operators import grid, mosaic, pyramid, raster, relations, summary
-from .plans import build, crawl, publish, strip
+from .plans import build, crawl, ledger, publish, strip
 from .sources import mbtiles, service
 
+AREA = "west double, south double, east double, north double"
+
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="quadloom", description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
@@ -48,10 +51,15 @@ def parser() -> argparse.ArgumentParser:
         if name == "refresh":
             c.add_argument("--today", required=True)
             continue
-        c.add_argument("--mode", choices=["full", "descent", "fill"], default="fill")
+        c.add_argument("--mode", choices=["full", "descent", "fill", "mask", "coverage"], default="fill")
         c.add_argument("--bbox", type=lambda v: [float(x) for x in v.split(",")], required=True, help="west,south,east,north")
         c.add_argument("--zmin", type=int, default=0)
         c.add_argument("--zmax", type=int, required=True)
+        c.add_argument("--extent", type=lambda v: [float(x) for x in v.split(",")], help="what the service covers, west,south,east,north; coverage needs it")
+        c.add_argument("--repair", action="store_true", help="ask only for what the archive lacks")
+        c.add_argument("--coverage-layer", default="", help="coverage: the layer that is rendered for the footprint")
+        c.add_argument("--coverage-zoom", type=int, default=11)
+        c.add_argument("--oversample", type=int, default=16)
         c.add_argument("--solid", type=int, default=11, help="fill: the last zoom asked for whole")
     c = command("strip", "archive", "out")
     c.add_argument("--stages", default="black-tiles,black-pixels,white-tiles")
@@ -82,34 +90,80 @@ def show(value) -> None:
     print(json.dumps(value, default=str, ensure_ascii=False))
 
 
-def _crawl(spark, a) -> None:
-    source = service.Source(a.kind, a.base, a.layer, a.matrix)
-    fetch = lambda df: service.narrowed(service.fetcher(source, service.over_http())(df))
-    west, south, east, north = a.bbox
-    area = spark.createDataFrame([(west, south, east, north)], "west double, south double, east double, north double")
-    from .functions.geometry import rectangles
+def _footprint(spark, a, book: ledger.Ledger):
+    """The cells that the coverage layer draws in the service's extent, kept under all they depend on."""
+    area = spark.createDataFrame([tuple(a.extent)], AREA)
+    rect = rectangles(area, a.coverage_zoom, a.coverage_zoom)
+
+    def made():
+        r = rect.first()
+        samples = service.rendered(rect, a.base, a.coverage_layer or a.layer, a.oversample, service.over_http())
+        cells = crawl.footprint_cells(samples, r["x1"] - r["x0"] + 1, r["y1"] - r["y0"] + 1, 1)
+        return cells.select((F.col("x") + r["x0"]).alias("x"), (F.col("y") + r["y0"]).alias("y"))
+
+    return book.footprint(ledger.shape(a.base, a.coverage_layer or a.layer, a.coverage_zoom, a.oversample, a.extent), made)
+
 
-    limits = session.settled(rectangles(area, a.zmin, a.zmax))
+def _crawl(spark, a) -> None:
+    crawl.check_options(a.mode, "extent" if a.extent else "limits", a.repair, footprint_z=a.coverage_zoom, over=a.oversample, errors_outside=a.kind == "wmts")
+    source = service.Source(a.kind, a.base, a.layer, a.matrix, empty_on_4xx=a.kind == "wmts")
+    raw = service.fetcher(source, service.over_http())
+    limits = session.settled(rectangles(spark.createDataFrame([crawl.checked_area(*a.bbox)], AREA), a.zmin, a.zmax))
+    if a.extent:
+        limits = crawl.overlap(rectangles(spark.createDataFrame([crawl.checked_area(*a.extent)], AREA), a.zmin, a.zmax), limits)
+    book = ledger.Ledger(spark, f"{session.shared_dir(spark)}/crawl-{Path(a.archive).stem}")
+    held = build.load(spark, a.archive, keys=True).select("z", "x", "y") if Path(a.archive).exists() else None
     answers: list = []
 
     def asked(df):
-        got = session.settled(fetch(df))
+        got = session.settled(service.narrowed(raw(df)))
         answers.append(got)
         return got
 
-    if a.mode == "full":
+    def store(found) -> None:
+        tiles = found.where("status = 'ok'").select("z", "x", "y", raster.without_solid(F.col("data")).alias("tile_data")).where("tile_data IS NOT NULL")
+        tiles.write.format("mbtiles").option("path", a.archive).mode("append").save()
+
+    if a.mode == "coverage" and not a.repair:
+        run = ledger.shape(a.mode, a.base, a.layer, a.bbox, a.extent, a.zmin, a.zmax, a.coverage_zoom, a.oversample)
+        fetch = lambda df: service.narrowed(raw(df))
+        answers = ledger.coverage(book, run, _footprint(spark, a, book), a.coverage_zoom, fetch, a.zmin, a.zmax, store, limits, held)
+    elif a.repair:
+        footprint, frontier = _footprint(spark, a, book) if a.mode == "coverage" else None, None
+        for z in range(a.zmin, a.zmax + 1):
+            ask = crawl.candidates(frontier, limits, z, a.solid) if footprint is None else crawl.clipped(crawl.eligible(footprint, a.coverage_zoom, z), limits)
+            stored = spark.createDataFrame([], "z int, x int, y int") if held is None else held.where(F.col("z") == z)
+            answers.append(session.settled(crawl.repaired(stored, ask, lambda df: service.narrowed(raw(df)))))
+            frontier = session.settled(stored.unionByName(answers[-1].where("status = 'ok'").select("z", "x", "y")))
+            book.record(answers[-1])
+    elif a.mode == "full":
         for z in range(a.zmin, a.zmax + 1):
             asked(crawl.candidates(None, limits, z))
     elif a.mode == "descent":
-        crawl.descent(crawl.candidates(None, limits, a.zmin), asked, a.zmin, a.zmax, limits=limits)
+        crawl.descent(crawl.candidates(None, limits, a.zmin), asked, a.zmin, a.zmax, held, limits)
+    elif a.mode == "mask":
+        side = raster.raster.MASK
+        seed = crawl.candidates(None, limits, a.zmin).withColumn("mask", F.lit(bytes([255] * (side * side // 8))))
+
+        def masks(df):
+            got = session.settled(raw(df))
+            answers.append(service.narrowed(got))
+            return service.masked(got)
+
+        crawl.masked(seed, masks, a.zmin, a.zmax, side, limits)
     else:
         crawl.fill(min(a.solid, a.zmax), limits, asked, a.zmin, a.zmax)
+    if not answers:
+        show({"complete": a.zmax})
+        return
     found = answers[0]
     for other in answers[1:]:
-        found = found.unionByName(other)
-    found = session.settled(found.dropDuplicates(["z", "x", "y"]))
-    tiles = found.where("status = 'ok'").select("z", "x", "y", raster.without_solid(F.col("data")).alias("tile_data")).where("tile_data IS NOT NULL")
-    tiles.write.format("mbtiles").option("path", a.archive).mode("append").save()
+        found = found.unionByName(other, allowMissingColumns=True)
+    # Of several answers for a place one that isn't an error counts.
+    found = session.settled(found.groupBy("z", "x", "y").agg(*[F.min_by(c, F.struct(F.col("status") == "err", F.col("status") != "ok")).alias(c) for c in ("status", "data")]))
+    if a.mode != "coverage" or a.repair:  # a coverage crawl stores and records each zoom
+        store(found)
+        book.record(found)
     keys = build.load(spark, a.archive, keys=True)
     b = grid.leaf_bounds(keys).select(text.bounds_text(*[F.col(c) for c in ("west", "south", "east", "north")]).alias("b")).first()["b"]
     z = keys.agg(F.min("z"), F.max("z")).first()

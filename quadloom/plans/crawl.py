@@ -101,17 +101,39 @@ def fill(footprint_z: int, limits: DataFrame, fetch: Fetch, low: int, high: int)
     return found
 
 
+def eligible(footprint: DataFrame, footprint_z: int, z: int) -> DataFrame:
+    """The tiles of a zoom that a footprint allows: what lies under its cells, or over them and next to that."""
+    if z < footprint_z:
+        up = footprint.select(F.lit(z).alias("z"), *[g.ancestor(F.col(c), footprint_z - z).alias(c) for c in "xy"]).distinct()
+        return grid.dilated(up, ["z"])
+    out = footprint.select(F.lit(footprint_z).alias("z"), "x", "y").distinct()
+    for _ in range(z - footprint_z):
+        out = g.children(out)
+    return out
+
+
+def overlap(limits: DataFrame, area: DataFrame) -> DataFrame:
+    """The part of each zoom's limits inside an area's rectangles; an area that misses them at the deepest zoom is refused."""
+    both = settled(g.overlap(limits, area, ["z"]))
+    deepest = [df.agg(F.max("z")).first()[0] for df in (both, limits)]
+    if deepest[0] is None or deepest[0] != deepest[1]:
+        raise ValueError("the area lies outside what the source covers")
+    return both
+
+
+def checked_area(west: float, south: float, east: float, north: float) -> tuple[float, float, float, float]:
+    """The area as it came; one that runs backwards is refused by its numbers, since a coarse tile holds either way round."""
+    if west >= east or south >= north:
+        raise ValueError(f"an area is west, south, east, north; {west},{south},{east},{north} selects nothing")
+    return west, south, east, north
+
+
 def coverage(footprint: DataFrame, footprint_z: int, fetch: Fetch, low: int, high: int, done: DataFrame | None = None) -> DataFrame:
     """Answers for every tile that the footprint allows; above its zoom it is projected and dilated by a cell."""
     out = None
-    if low < footprint_z:
-        up = footprint.select("x", "y").withColumn("s", F.explode(F.sequence(F.lit(1), F.lit(footprint_z - low))))
-        up = up.select((F.lit(footprint_z) - F.col("s")).alias("z"), F.call_function("shiftright", "x", "s").alias("x"), F.call_function("shiftright", "y", "s").alias("y")).distinct()
-        out = grid.dilated(up, ["z"])
-    below = footprint.select(F.lit(footprint_z).alias("z"), "x", "y").distinct()
-    for z in range(footprint_z, high + 1):
-        out = below if out is None else out.unionByName(below)
-        below = g.children(below) if z < high else below
+    for z in range(low, high + 1):
+        here = eligible(footprint, footprint_z, z)
+        out = here if out is None else out.unionByName(here)
     return settled(fetch(out if done is None else relations.todo(out, done)))
 
 
@@ -125,13 +147,14 @@ def masked(seed: DataFrame, fetch: Fetch, low: int, high: int, side: int = 32, l
 
     ``fetch`` answers content (with ``data``), placeholder, outside or err.
     Content sets the mask for what lies below, a placeholder hands its own
-    down, outside prunes, and a child is asked for if its quarter of the mask
-    is not empty and it lies inside the limits. ``seed`` has ``z, x, y, mask``
+    down (but for the first zoom, where only content is followed), outside
+    prunes, and a child is asked for if its quarter of the mask is not empty and
+    it lies inside the limits. ``seed`` has ``z, x, y, mask``
     (packed bits).
     """
     found, ask = None, clipped(seed, limits)
     for z in range(low, high + 1):
-        got = fetch(ask.select(*KEYS)).join(ask, KEYS).where("status IN ('content', 'placeholder')")
+        got = fetch(ask.select(*KEYS)).join(ask, KEYS).where("status = 'content'" if z == low else "status IN ('content', 'placeholder')")
         got = got.withColumn("mask", F.when(F.col("status") == "content", r.alpha_mask(F.col("data"), side)).otherwise(F.col("mask")))
         got = settled(got.select(*KEYS, "status", "mask"))
         content = got.where("status = 'content'").select(*KEYS)

@@ -89,6 +89,48 @@ def over_http(timeout: float = 30.0) -> Callable:
     return get
 
 
+class Unrendered(RuntimeError):
+    """A part of a rendered coverage that can't be had; left out it would be a hole that prunes tiles unseen."""
+
+
+def rendered(rectangle: DataFrame, base: str, layer: str, over: int, transport: Callable, most: int = 2048, tries: int = 3) -> DataFrame:
+    """``px, py, a``: whether a coverage layer draws anything in each tile of one rectangle (``z, x0, x1, y0, y1``), counted from its corner.
+
+    The rectangle is asked for in images of at most ``most`` pixels a side with
+    ``over`` pixels a tile and way. An image that isn't one or has another size
+    is asked for again, and fails the job after the last try.
+    """
+    from ..functions.geometry import bbox
+
+    step = max(1, most // over)
+    corner = rectangle.select("*", F.explode(F.sequence("x0", "x1", F.lit(step))).alias("x")).select("*", F.explode(F.sequence("y0", "y1", F.lit(step))).alias("y"))
+    part = corner.withColumns({"nx": F.least(F.lit(step), F.col("x1") - F.col("x") + 1), "ny": F.least(F.lit(step), F.col("y1") - F.col("y") + 1)})
+    box = bbox(F.col("z"), F.col("x"), F.col("y"), F.col("nx"), F.col("ny"))
+    url = t.map_url(base, F.lit(layer), *box, F.col("nx") * over, F.col("ny") * over)
+
+    def drawn(url: str, nx: int, ny: int):
+        for _ in range(tries):
+            code, body, _headers = transport(url, {})
+            try:
+                image = png.decode(body or b"")
+            except ValueError:
+                why = f"{code}, not an image"
+                continue
+            if image.shape[:2] == (ny * over, nx * over):
+                return image[..., 3].reshape(ny, over, nx, over).max(axis=(1, 3))
+            why = f"an image of {image.shape[1]} x {image.shape[0]}"
+        raise Unrendered(f"{url}: {why}")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for px, py, nx, ny, url in b.itertuples(index=False):
+                a = drawn(url, nx, ny)
+                yield pd.DataFrame([(px + i, py + j, int(a[j, i])) for j in range(ny) for i in range(nx)], columns=["px", "py", "a"])
+
+    asked = part.select((F.col("x") - F.col("x0")).alias("px"), (F.col("y") - F.col("y0")).alias("py"), "nx", "ny", url.alias("url"))
+    return asked.mapInPandas(run, "px int, py int, a int")
+
+
 def fetcher(source: Source, transport: Callable, since: str | None = None, wait: Callable = time.sleep) -> Callable[[DataFrame], DataFrame]:
     """A fetch function for ``plans.crawl``; temporary failures are asked again with growing pauses."""
     headers = {"If-Modified-Since": since} if since else {}
