@@ -89,3 +89,61 @@ def test_rendered_coverage(spark):
     for wrong in (lambda url, headers: (500, b"no", {}), lambda url, headers: (200, png.encode(np.zeros((8, 8, 4), dtype=np.uint8)), {})):
         with pytest.raises(Exception, match="not an image|an image of"):
             service.rendered(rect.withColumn("x1", F.lit(12)), "http://x", "c", 4, wrong, most=16).count()
+
+
+def test_modes_over_http(spark, tmp_path, capsys):
+    import json
+    import re
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    from quadloom.__main__ import main
+    from quadloom.plans import build
+
+    paper = png.encode(np.full((256, 256, 4), 255, dtype=np.uint8))
+    asked = []
+
+    class Service(BaseHTTPRequestHandler):
+        def do_GET(self):  # noqa: N802
+            code, body = 200, paper
+            asked.append(self.path)
+            if "GetTile" in self.path:
+                z, y, x = map(int, re.search(r"tilematrix=M:(\d+)&tilerow=(\d+)&tilecol=(\d+)", self.path).groups())
+                code = 200 if x == y else 404
+            elif "layers=cov" in self.path:
+                w, h = (int(re.search(rf"{k}=(\d+)", self.path).group(1)) for k in ("width", "height"))
+                a = np.zeros((h, w, 4), dtype=np.uint8)
+                a[h // 2, w // 2 - 16 : w // 2 + 1, 3] = 255  # two cells of 56
+                body = png.encode(a)
+            self.send_response(code)
+            self.send_header("Content-Length", str(len(body) if code == 200 else 0))
+            self.end_headers()
+            if code == 200:
+                self.wfile.write(body)
+
+        def log_message(self, *a):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        base = f"http://127.0.0.1:{server.server_port}/s"
+        world = ["--base", base, "--layer", "one", "--matrix", "M", "--bbox=-179,-80,179,80", "--zmin", "1", "--zmax", "3"]
+        diagonal = {(z, x, x) for z in (1, 2, 3) for x in range(1 << z)}
+        a, b, c = (str(tmp_path / f"{n}.mbtiles") for n in "abc")
+        assert main(["crawl", a, *world, "--mode", "mask"]) == 0 and places(build.load(spark, a)) == diagonal
+        assert main(["crawl", b, *world, "--mode", "descent", "--zmax", "2"]) == 0
+        asked.clear()
+        assert main(["crawl", b, *world, "--mode", "full", "--repair"]) == 0 and places(build.load(spark, b)) == diagonal
+        assert len(asked) == len(set(asked)) == 4 + 16 + 64 - 2 - 4
+        with pytest.raises(ValueError):
+            main(["crawl", c, "--kind", "wms", *world, "--mode", "coverage"])
+        area = ["crawl", c, "--kind", "wms", "--base", base, "--layer", "one", "--bbox=10,50,40,70", "--extent=10,50,40,70", "--zmin", "5", "--zmax", "7", "--mode", "coverage", "--coverage-layer", "cov", "--coverage-zoom", "6"]
+        assert main(area) == 0
+        got = places(build.load(spark, c))
+        assert [sum(p[0] == z for p in got) for z in (6, 7)] == [12, 48] and any(p[0] == 5 for p in got)
+        asked.clear()
+        capsys.readouterr()
+        assert main(area) == 0 and not asked and json.loads(capsys.readouterr().out.splitlines()[-1]) == {"complete": 7}
+    finally:
+        server.shutdown()
