@@ -9,7 +9,7 @@ import pytest
 
 from quadloom import queries as tile_queries
 
-SHOWN = ["kernel_novelty", "kernel_survey"]
+SHOWN = ["kernel_novelty", "kernel_survey", "pixel_classes"]
 
 
 def edges() -> list[float]:
