@@ -9,7 +9,7 @@ import pytest
 
 from quadloom import queries as tile_queries
 
-SHOWN = ["kernel_novelty", "kernel_survey", "pixel_classes"]
+SHOWN = ["kernel_novelty", "kernel_survey", "pixel_classes", "pixel_survey"]
 
 
 def edges() -> list[float]:
