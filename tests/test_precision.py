@@ -9,7 +9,7 @@ import pytest
 
 from quadloom import queries as tile_queries
 
-SHOWN = ["kernel_novelty", "kernel_survey", "pixel_classes", "pixel_survey"]
+SHOWN = ["kernel_novelty", "kernel_survey", "pixel_classes", "pixel_survey", "halved_pixels"]
 
 
 def edges() -> list[float]:
