@@ -9,7 +9,7 @@ import pytest
 
 from quadloom import queries as tile_queries
 
-SHOWN = ["kernel_novelty", "kernel_survey", "pixel_classes", "pixel_survey", "halved_pixels", "kernel_masks", "kernel_parents", "kernel_stripped"]
+SHOWN = ["kernel_novelty", "kernel_survey", "pixel_classes", "pixel_survey", "halved_pixels", "kernel_masks", "kernel_parents", "kernel_stripped", "nearest_share"]
 
 
 def edges() -> list[float]:
