@@ -43,7 +43,7 @@ def nearest_share(spark, sf_dir):
 
 def kernel_survey(spark, sf_dir):
     """The survey once more, by the kernel on encoded tiles."""
-    s = b.shades(spark, sf_dir).select("vec_id", "px", "py", *"rgba")
+    s = b.as_bytes(b.shades(spark, sf_dir)).select("vec_id", "px", "py", *"rgba")
     one = s.groupBy("vec_id").agg(F.array_sort(F.collect_list(F.struct("py", "px", *"rgba"))).alias("p"))
 
     @F.pandas_udf("binary")
