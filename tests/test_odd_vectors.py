@@ -9,7 +9,7 @@ import pytest
 from quadloom import queries as tile_queries
 
 LENGTHS = {"null vector": None, "empty": 0, "short": 50, "long": 70, "null element": 64}
-SHOWN = [("kernel_survey", [*LENGTHS, "beyond a byte"]), ("pixel_classes", [*LENGTHS, "beyond a byte"]), ("pixel_survey", [*LENGTHS, "beyond a byte"]), ("halved_pixels", [*LENGTHS, "beyond a byte"]), ("kernel_masks", [*LENGTHS, "beyond a byte"]), ("kernel_parents", [*LENGTHS]), ("kernel_stripped", ["null vector", "empty", "long"])]
+SHOWN = [("kernel_survey", [*LENGTHS, "beyond a byte"]), ("pixel_classes", [*LENGTHS, "beyond a byte"]), ("pixel_survey", [*LENGTHS, "beyond a byte"]), ("halved_pixels", [*LENGTHS, "beyond a byte"]), ("kernel_masks", [*LENGTHS, "beyond a byte"]), ("kernel_parents", [*LENGTHS]), ("kernel_stripped", ["null vector", "empty", "long"]), ("nearest_share", [*LENGTHS, "beyond a byte"])]
 
 
 def vectors(kind: str) -> list:
