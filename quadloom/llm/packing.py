@@ -19,6 +19,7 @@ gives an empty result; extra columns are ignored.
 from __future__ import annotations
 
 import re
+import string
 import sys
 import types
 import zlib
@@ -35,11 +36,21 @@ from .common import cut, prefixed, read, text_of
 LENGTH, END, SHARD = 2048, 0, 4096
 CACHED_WORDS, PART_BYTES = 300_000, 2_000_000
 SEPARATOR = "<|endoftext|>"
-MARKS = ".,;:!?"
+MARKS = string.punctuation
+CACHED_TAILS = 10_000
 # Letters that stay single letters in the tokenizer's normal form (NFC, then lower case): Latin up to U+024F without the dotted capital I, Greek and Cyrillic.
 PLAIN = re.compile("[A-Za-z\u00aa-\u012f\u0131-\u024f\u0370-\u052f]+")
 
 
+# Bytes of characters from U+0300 on: below, there are no marks that the normal form could compose with a letter.
+BEYOND = re.compile(rb"[\xcc-\xff]")
+
+
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text, in lower case where that changes neither their normal form nor special tokens."""
+    return (text if BEYOND.search(text) or b"<|" in text else text.lower()).split()
+
+
 def plain(word: str) -> bool:
     """Whether a word has letters alone that are encoded as they stand, whatever stands beside them."""
     return word.isalpha() and (word.isascii() or PLAIN.fullmatch(word) is not None)
@@ -50,28 +61,39 @@ class WordCoder:
 
     The tokenizer drops white space and case and never joins words across
     white space, so a text is the concatenation of its words, and a ``plain``
-    word followed by one mark is the concatenation of both. Plain words are
-    encoded many to a call and told apart by the ids that end a word; what
+    word followed by marks is the concatenation of both. Plain words are
+    encoded many to a call and told apart by the ids that end a word, those of
+    a-z by the model alone, as the normal form leaves them as they are; what
     remains is kept apart by a special token.
     """
 
     def __init__(self, path: str, cached: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.cached, self.words = cached, {}
         self.mark = self.tokenizer.token_to_id(SEPARATOR)
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
-        self.marks = {m: self._one(m) for m in MARKS}
+        self.tails = {"": b""}
 
     def _one(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _joined(self, words: list[str], glue: str, size: int) -> np.ndarray:
+    def _joined(self, tokenizer, words: list[str], glue: str, size: int) -> np.ndarray:
         texts = [glue.join(words[i : i + size]) for i in range(0, len(words), size)]
-        return np.concatenate([np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        return np.concatenate([np.array(e.ids, dtype="<u4") for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _tail(self, marks: str) -> bytes:
+        ids = self.tails.get(marks)
+        if ids is None:
+            ids = self._one(marks)
+            if len(self.tails) < CACHED_TAILS:
+                self.tails[marks] = ids
+        return ids
 
     @staticmethod
     def shared(path: str) -> WordCoder:
@@ -85,33 +107,38 @@ class WordCoder:
         if not words:
             return {}
         # Only ASCII loses its case here: a letter's case decides which marks the normal form composes with it.
-        texts = [w.lower().decode("ascii") if w.isascii() else w.decode("utf-8", "replace") for w in words]
-        marks, letters, others = self.marks, {}, {}
-        bare, mark = [], []
+        texts = [w.lower().decode("ascii") if w.isascii() and b"<|" not in w else w.decode("utf-8", "replace") for w in words]
+        known, fresh, others = {}, {True: [], False: []}, {}
+        bare, tail = [], []
         for t in texts:
-            m = ""
-            if not plain(t) and t[-1] in marks and plain(t[:-1]):
-                t, m = t[:-1], t[-1]
-            (letters if m or plain(t) else others)[t] = b""
-            bare.append(t)
-            mark.append(m)
-        if letters:
-            names = list(letters)
-            ids = self._joined(names, " ", 64)
+            stem = t.rstrip(MARKS)
+            if not plain(stem):
+                others[t] = b""
+                stem = t
+            elif stem not in known:
+                known[stem] = self.words.get(stem.encode())
+                if known[stem] is None:
+                    fresh[stem.isascii()].append(stem)
+            bare.append(stem)
+            tail.append(t[len(stem) :])
+        for tokenizer, names in ((self.bare, fresh[True]), (self.tokenizer, fresh[False])):
+            if not names:
+                continue
+            ids = self._joined(tokenizer, names, " ", 64)
             edges = [0, *(np.flatnonzero(self.ends[ids]) + 1).tolist()]
             if len(edges) == len(names) + 1:
                 raw = ids.tobytes()
-                letters = {n: raw[4 * a : 4 * b] for n, a, b in zip(names, edges, edges[1:])}
+                known.update((n, raw[4 * a : 4 * b]) for n, a, b in zip(names, edges, edges[1:]))
             else:  # a word did not end as expected: none is taken from this call
-                letters, others = {}, others | letters
+                others.update(dict.fromkeys(names, b""))
         apart = [n for n in others if "<|" not in n]
         for i in range(0, len(apart), 64):
-            ids = self._joined(apart[i : i + 64], SEPARATOR, 64)
+            ids = self._joined(self.tokenizer, apart[i : i + 64], SEPARATOR, 64)
             edges = [-1, *np.flatnonzero(ids == self.mark).tolist(), len(ids)]
             others.update((n, ids[a + 1 : b].tobytes()) for n, a, b in zip(apart[i : i + 64], edges, edges[1:]))
         others.update((n, self._one(n)) for n in others if "<|" in n)
-        known = letters | others
-        return {w: known[t] + marks[m] if m else known[t] for w, t, m in zip(words, bare, mark)}
+        known |= others
+        return {w: known[t] + self._tail(m) if m else known[t] for w, t, m in zip(words, bare, tail)}
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
         """Ids of each text; a few megabytes of text are split into words at a time."""
@@ -121,7 +148,7 @@ class WordCoder:
             size += len(text)
             if size < PART_BYTES and i + 1 < len(texts):
                 continue
-            split = [t.split() for t in texts[first : i + 1]]
+            split = [words_of(t) for t in texts[first : i + 1]]
             first, size = i + 1, 0
             found = [list(map(known.get, words)) for words in split]
             fresh = self._encode(list({w for words, ids in zip(split, found) for w, x in zip(words, ids) if x is None}))

@@ -267,6 +267,30 @@ def test_word_ids_equal_the_tokenizer():
     assert got == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_only_new_letters_meet_the_tokenizer(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, coder = Tokenizer.from_file(path), packing.WordCoder(path)
+    list(coder.encode([b"stone wall"]))
+    monkeypatch.setattr(coder, "_joined", None)
+    texts = ["Stone, WALL!! stone$$$ Wall###.", "wall' stone*** STONE"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in texts])]
+    assert got == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_special_tokens_keep_their_case():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, coder = Tokenizer.from_file(path), packing.WordCoder(path)
+    texts = ["A<|ENDOFTEXT|>B", "Stone <|EndOfText|>", "wall<|endoftext|> STONE"]
+    got = [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in texts])]
+    assert got == [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_shards_share_their_last_sequences(spark, docs):
     texts = {i: t for i, t, _ in docs}
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
