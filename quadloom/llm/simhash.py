@@ -243,28 +243,34 @@ def links(points: DataFrame, blocks: int = 2) -> DataFrame:
     return dealt.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_link_rows, "u long, v long")
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether each larger end ``u`` has one link and is no link's smaller end ``v``: then ``v`` is the component's smallest node."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not ends.agg(F.count_if((F.col("up") > 1) | (F.col("up") > 0) & (F.col("down") > 0)).alias("n")).first()["n"]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, label``: each node that has an edge with the smallest node of its component.
 
     Alternating star steps: every node hands the smallest neighbour to its
-    larger, then to its smaller ones, until nothing changes. Minima are
-    aggregated before the shuffle, so a node with any number of neighbours is
-    one row per task.
+    larger, then to its smaller ones, until all that is left are stars around
+    the smallest nodes. Minima are aggregated before the shuffle, so a node with
+    any number of neighbours is one row per task. Few tables are settled: a
+    table is a file a task, however small, and on a local disk Hadoop starts
+    processes for each file.
     """
     edges = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
-    while True:
-        mark = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if mark == before or not mark["n"]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-        before = mark
+    while not are_stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # A smallest node may have any number of larger neighbours: against a settled table its join can be split.
         large = both.where("v > u").join(cut(least, "least"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = cut(large.where("u <> v").distinct(), "large")
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.*")
         edges = cut(small.where("u <> v").distinct(), "edges")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
 def simhash_groups(docs: DataFrame, blocks: int | None = None, size: int = SHINGLE, seed: int = SEED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -277,7 +283,7 @@ def simhash_groups(docs: DataFrame, blocks: int | None = None, size: int = SHING
     named = points.join(label, points["fp"] == label["node"], "left").select("fp", "first", F.coalesce("label", "fp").alias("label"))
     named = cut(named, "labels")
     lowest = cut(named.groupBy("label").agg(F.min("first").alias("component_id")), "lowest")
-    by_fp = cut(named.join(lowest, "label").select("fp", "component_id"), "components")
+    by_fp = named.join(lowest, "label").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "text_h", "fp", "component_id")
 
 

@@ -547,6 +547,27 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {i: 0 for i in range(1, 41)} | {i: 100 for i in range(101, 160)}
 
 
+def test_star_steps_settle_few_tables(spark, monkeypatch):
+    names, settle = [], simhash.cut
+    monkeypatch.setattr(simhash, "cut", lambda df, name: (names.append(name), settle(df, name))[1])
+    found = lambda edges: {r.node: r.label for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert found([(5, 1), (1, 7), (9, -2), (9, -2), (4, 4)]) == {5: 1, 7: 1, 9: -2}
+    assert names == ["edges"]  # these are stars already
+    names.clear()
+    assert found([(4, 4)]) == {} and names == ["edges"]
+    rng = np.random.default_rng(3)
+    for n in (30, 60):
+        edges = [(int(a), int(b)) for a, b in rng.integers(-40, 40, (n, 2))]
+        label = {x: x for e in edges for x in e}
+        for _ in label:
+            for a, b in edges:
+                label[a] = label[b] = min(label[a], label[b])
+        names.clear()
+        assert found(edges) == {x: y for x, y in label.items() if x != y}
+        rounds = names.count("edges") - 1
+        assert rounds and names.count("least") == names.count("large") == rounds
+
+
 def test_near_dedup_goes_by_row(spark):
     a, b = " ".join(f"alpha{i}" for i in range(60)), " ".join(f"beta{i}" for i in range(60))
     rows = [(3, a, "x"), (5, a, "x"), (5, b, "x"), (9, a, "x"), (3, a, "x"), (None, b, "x"), (7, None, "x"), (8, "", "x"), (None, "orphan of a kind that no other is", None)]
